@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import process_cache, sliced, texts_of
 
 #: Pieces of up to this many characters are cached, this many in each of two generations.
-PIECE_CHARS, PIECES = 48, 300_000
+PIECE_CHARS, PIECES = 48, 350_000
 
 
 def byte_chars() -> list[str]:
@@ -79,16 +79,38 @@ def from_json(data: bytes):
 
 
 class _Pieces(dict):
-    """The ids of pieces, as bytes: a young generation, and the one before."""
+    """The ids, as bytes, of pieces that come after a prefix: a young generation, and the one before."""
 
-    old: dict = {}
+    def __init__(self, prefix: str):
+        super().__init__()
+        self.prefix, self.old = prefix, {}
+        self.once: list[str] = []
 
     def __missing__(self, piece: str) -> bytes:
         found = self[piece] = self.old[piece]
         return found
 
-    def age(self) -> None:
-        if len(self) > PIECES:
+    def learn(self, need: set[str], codec: Codec) -> None:
+        """Encodes those of need that are unknown. A comma or full stop after a letter or digit is a token apart, so
+        such a piece follows from the one without."""
+        old = self.old
+        need = {w for w in need if w not in self and w not in old}
+        ended = [w for w in need if w[-1] in ".," and w[-2:-1].isalnum()]
+        need.difference_update(ended)
+        need.update(b for w in ended if (b := w[:-1]) not in self and b not in old)
+        new = list(need)
+        coded = codec.tok.encode_batch_fast([self.prefix + w for w in new], add_special_tokens=False)
+        for w, e in zip(new, coded, strict=True):
+            self[w] = array("I", e.ids).tobytes()
+        for w in ended:
+            self[w] = self[w[:-1]] + codec.ends[w[-1]]
+        self.once = [w for w in (*new, *ended) if len(w) > PIECE_CHARS]
+
+    def age(self, most: int) -> None:
+        for w in self.once:
+            self.pop(w, None)
+        self.once = []
+        if len(self) > most:
             self.old = dict(self)
             self.clear()
 
@@ -107,7 +129,8 @@ class Codec:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok, self.table = from_ranks(data, pattern) if pattern else from_json(data)
         self.sizes = np.array([len(t) for t in self.table], np.int64)
-        self.pieces = _Pieces()
+        self.ends = {c: array("I", self.tok.encode(c, add_special_tokens=False).ids).tobytes() for c in ".,"}
+        self.spaced, self.lined, self.free = _Pieces(" "), _Pieces("\n"), _Pieces("")
 
     @classmethod
     def of(cls, data: bytes, pattern: str | None) -> Codec:
@@ -118,27 +141,44 @@ class Codec:
             cache[key] = cls(data, pattern)
         return cache[key]
 
-    def _cut(self, text: str) -> list[str]:
+    def _cut(self, text: str) -> tuple[list[str], list[list[str]]] | list[str]:
+        """Where each white space is one blank or line feed between words: the lines' first words and the others of each
+        line. Else the pieces."""
+        words = text.split()
+        if words and len(words) - 1 == text.count(" ") + text.count("\n") == len(text) - sum(map(len, words)):
+            lines = [line.split(" ") for line in text.split("\n")]
+            return [line.pop(0) for line in lines], lines
         return [text] if self.ODD.search(text) else self.PIECE.findall(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each whole text, as little-endian unsigned 32-bit integers."""
-        cut = [self._cut(t) for t in texts]
-        need: set[str] = set()
+        cut = [self._cut(t) if t else [] for t in texts]
+        spaced: set[str] = set()
+        lined: set[str] = set()
+        free: set[str] = set()
         for c in cut:
-            need.update(c)
-        need.difference_update(self.pieces)
-        need.difference_update(self.pieces.old)
-        need_list = list(need)
-        long = {}
-        for piece, e in zip(need_list, self.tok.encode_batch_fast(need_list, add_special_tokens=False), strict=True):
-            (self.pieces if len(piece) <= PIECE_CHARS else long)[piece] = array("I", e.ids).tobytes()
-        if long:
-            get = lambda p: long[p] if p in long else self.pieces[p]
-            out = [b"".join(map(get, c)) for c in cut]
-        else:
-            out = [b"".join(map(self.pieces.__getitem__, c)) for c in cut]
-        self.pieces.age()
+            if isinstance(c, tuple):
+                free.add(c[0][0])
+                lined.update(c[0][1:])
+                spaced.update(*c[1])
+            else:
+                free.update(c)
+        for need, pieces in ((spaced, self.spaced), (lined, self.lined), (free, self.free)):
+            pieces.learn(need, self)
+        out = []
+        for c in cut:
+            if isinstance(c, tuple):
+                heads, lines = c
+                parts = [self.free[heads[0]], *map(self.spaced.__getitem__, lines[0])]
+                for head, words in zip(heads[1:], lines[1:], strict=True):
+                    parts.append(self.lined[head])
+                    parts += map(self.spaced.__getitem__, words)
+                out.append(b"".join(parts))
+            else:
+                out.append(b"".join(map(self.free.__getitem__, c)))
+        self.spaced.age(PIECES)
+        self.lined.age(PIECES // 8)
+        self.free.age(PIECES // 8)
         return out
 
     def decode(self, ids: Iterable[int]) -> bytes:

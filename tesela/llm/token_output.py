@@ -15,7 +15,9 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +43,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer_path: str, end_id: int = E
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     tokens = ordered.mapInArrow(run, "doc_id long, n_tokens int, ids array<int>")
     options = {
-        "compression": "zstd",
+        "compression": "snappy",
         "parquet.enable.dictionary": str(encoding == "dictionary").lower(),
         "parquet.writer.version": "PARQUET_1_0" if encoding == "dictionary" else "PARQUET_2_0",
         "parquet.block.size": row_group_bytes,
@@ -64,25 +66,27 @@ def read_lengths(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("doc_id long, n_tokens int").parquet(path)
 
 
-def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _index_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = rows_of(batch.column("ids"))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("file"), batch.column("at"), batch.column("doc_id"), pa.array([len(r) for r in ids], pa.int64()), pa.array([zlib.crc32(r.astype("<u4").tobytes()) for r in ids], pa.int64())],
-            ["file", "at", "doc_id", "n_tokens", "ids_crc32"],
-        )
+        for name, content in zip(batch.column("name").to_pylist(), batch.column("content"), strict=True):
+            file, inside = pq.ParquetFile(pa.BufferReader(content.as_buffer())), 0
+            for part in file.iter_batches(1024, columns=["doc_id", "ids"]):
+                ids = rows_of(part.column("ids"))
+                n = np.array([len(r) for r in ids], np.int64)
+                crc = pa.array([zlib.crc32(r.astype("<u4").tobytes()) for r in ids], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(n)), part.column("doc_id"), pa.array(inside + np.cumsum(n) - n), pa.array(n), crc], ["name", "doc_id", "inside", "n_tokens", "ids_crc32"])
+                inside += int(n.sum())
 
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 from the files: start counts the ids of all documents before. Rows are
-    summed inside their file; over files only one total each is ordered."""
-    files = spark.read.schema("doc_id long, n_tokens int, ids array<int>").parquet(path)
-    rows = files.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"), "doc_id", "ids")
-    sums = rows.mapInArrow(_checksums, "file string, at long, doc_id long, n_tokens long, ids_crc32 long")
-    lengths = spark.read.schema("n_tokens int").parquet(path).groupBy(F.col("_metadata.file_name").alias("name")).agg(F.sum("n_tokens").alias("total"))
-    before = lengths.select("name", (F.sum("total").over(Window.orderBy("name").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("before"))
-    inside = F.sum("n_tokens").over(Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
-    placed = sums.withColumn("inside", inside).join(before, F.col("file") == F.col("name"))
+    """doc_id, start, n_tokens, ids_crc32 from the files: start counts the ids of all documents before. A file is
+    read by one task in its own order; over files only one total each is ordered."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    name = F.element_at(F.split("path", "/"), -1).alias("name")
+    rows = files.select(name, "content").mapInArrow(_index_of, "name string, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    lengths = spark.read.schema("n_tokens int").parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.sum("n_tokens").alias("total"))
+    before = lengths.select("file", (F.sum("total").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("before"))
+    placed = rows.join(before, F.col("file") == F.col("name"))
     return placed.select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
