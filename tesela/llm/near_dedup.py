@@ -6,7 +6,8 @@ Scalable and Robust Set Similarity Join, 2018).
 2. `trees` independent trees branch the representatives: a node picks one of the signature's coordinates,
    and a second one with the chance that keeps a pair at the threshold alive, and a document goes to the
    child that its minwise token there names. Nodes are counted before anything wide moves; single documents
-   leave, nodes of up to `leaf` documents are compared exhaustively on signatures, larger ones branch on.
+   leave, nodes of up to `leaf` documents are compared exhaustively on sketches of their lowest tokens, larger
+   ones branch on.
 3. What is still larger at `depth` is compared exhaustively in blocks of `leaf`, so no cap loses a pair.
 4. A leaf first gives a spanning forest of its likely pairs, not all pairs; they are confirmed on full sets.
    A second look at the leaves gives every likely pair that the confirmed links leave in two components.
@@ -35,6 +36,8 @@ from .components import components
 from .shingles import mix, shingle_sets
 
 COORDS = 128
+#: Tokens of a sketch that leaves compare: the lowest of a set, all of a set that has no more.
+LOWEST = 192
 
 
 def _detours() -> np.ndarray:
@@ -70,8 +73,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                 pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array([(s[:LOWEST] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary()),
             ],
-            ["doc_id", "n_shingles", "set_key", "sig"],
+            ["doc_id", "n_shingles", "set_key", "sig", "low"],
         )
 
 
@@ -97,26 +101,27 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "node")
 
 
-def _least_equal(sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Equal coordinates below which a pair whose smaller set has so many shingles is unlikely to reach the
-    threshold: four standard deviations, of the coordinates' and of the few tokens that fill them."""
-    j = percent / 100
-    share = j - 4 * np.sqrt(j * (1 - j) * (1 / COORDS + 1 / np.maximum(sizes, 1)))
-    return COORDS * np.maximum(share, 0.3)
-
-
-def _likely(tokens: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs i < j of rows of tokens that may reach the threshold, and their equal coordinates."""
-    m = len(tokens)
-    if m <= 48:
-        equal = (tokens[:, None, :] == tokens[None, :, :]).sum(2)
-    else:
-        equal = np.zeros((m, m), np.int16)
-        for c in range(COORDS):
-            equal += tokens[:, c, None] == tokens[None, :, c]
+def _likely(lows: list[np.ndarray], sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs i < j that may reach the threshold, and their similarity in the sketches. Below the least of two sketches'
+    ends both are complete: exact where the sketch is the whole set, else an estimate that may fall short
+    by four standard deviations. Tokens that a single sketch has are counted and not laid out."""
+    whole = sizes <= LOWEST
+    ends = np.array([0xFFFFFFFF if w else int(x[-1]) for w, x in zip(whole, lows, strict=True)], np.int64)
+    tokens, at, often = np.unique(np.concatenate(lows), return_inverse=True, return_counts=True)
+    column = np.cumsum(often > 1) - 1
+    row = np.repeat(np.arange(len(lows)), [len(x) for x in lows])
+    some = often[at] > 1
+    laid = np.zeros((len(lows), int((often > 1).sum())), np.float32)
+    laid[row[some], column[at[some]]] = 1
+    both = laid @ laid.T
+    upto = np.array([np.searchsorted(x, ends, "right") for x in lows])
+    union = upto + upto.T - both
+    like = both / np.maximum(union, 1)
+    share = percent / 100
+    spread = np.where(whole[:, None] & whole[None, :], 0.01, 4 * np.sqrt(share * (1 - share) / np.maximum(union, 1)))
     small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
-    i, j = np.nonzero(np.triu((equal >= _least_equal(small, percent)) & (100 * small >= percent * large), 1))
-    return i, j, equal[i, j]
+    i, j = np.nonzero(np.triu((like >= share - spread) & (100 * small >= percent * large), 1))
+    return i, j, like[i, j]
 
 
 def _find(parent: dict, x: int) -> int:
@@ -127,13 +132,13 @@ def _find(parent: dict, x: int) -> int:
 
 
 def _leaf_pairs(percent: int, everything: bool):
-    """For rows node, rep, comp, n_shingles, sig sorted by node: likely pairs a < b of different comp in
+    """For rows node, rep, comp, n_shingles, low sorted by node: likely pairs a < b of different comp in
     one node. Without `everything`, likeliest first, only those that join what earlier ones leave apart."""
 
-    def pairs_of(reps: list, comps: list, sizes: list, sigs: list) -> Iterator[tuple[int, int]]:
+    def pairs_of(reps: list, comps: list, sizes: list, lows: list) -> Iterator[tuple[int, int]]:
         if len(reps) < 2 or len(set(comps)) < 2:
             return
-        i, j, n = _likely(np.frombuffer(b"".join(sigs), np.uint32).reshape(len(reps), COORDS), np.array(sizes), percent)
+        i, j, n = _likely([np.frombuffer(x, np.uint32) for x in lows], np.array(sizes), percent)
         order = np.argsort(-n, kind="stable")
         parent: dict[int, int] = {}
         for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
@@ -149,7 +154,7 @@ def _leaf_pairs(percent: int, everything: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[list] = [[], [], [], [], []]
         for batch in batches:
-            new = [batch.column(c).to_pylist() for c in ("node", "rep", "comp", "n_shingles", "sig")]
+            new = [batch.column(c).to_pylist() for c in ("node", "rep", "comp", "n_shingles", "low")]
             rest = [x + y for x, y in zip(rest, new, strict=True)]
             nodes = rest[0]
             cuts = [0, *[k for k in range(1, len(nodes)) if nodes[k] != nodes[k - 1]]]
@@ -208,7 +213,7 @@ def _blocks(over: DataFrame, leaf: int) -> DataFrame:
 
 def _compare(rows: DataFrame, reps: DataFrame, percent: int, everything: bool) -> DataFrame:
     """Likely pairs a, b of rows (node, rep, comp), each once."""
-    wide = rows.join(reps, "rep").select("node", "rep", "comp", "n_shingles", "sig")
+    wide = rows.join(reps.drop("sig"), "rep").select("node", "rep", "comp", "n_shingles", "low")
     near = wide.repartition("node").sortWithinPartitions("node")
     return near.mapInArrow(_leaf_pairs(percent, everything), "a long, b long").distinct()
 
@@ -238,10 +243,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one in 10 ** 4 pairs at the very threshold.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = stored(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, set_key binary, sig binary"), "op3-sketch")
+    sketch = stored(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, set_key binary, sig binary, low binary"), "op3-sketch")
     named = sketch.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    folded = stored(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("set_size"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sig").alias("sig")), "op3-reps")
-    reps = folded.select("rep", "n_shingles", "sig")
+    folded = stored(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("set_size"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sig").alias("sig"), F.any_value("low").alias("low")), "op3-reps")
+    reps = folded.select("rep", "n_shingles", "sig", "low")
 
     leaves, over = _leaves(reps, trees, leaf, depth, percent)
     first = _compare(leaves.withColumn("comp", F.col("rep")), reps, percent, False)
