@@ -1,9 +1,9 @@
 """Byte-level BPE with the tokenizers library over Arrow batches: encoding, offsets and decoding.
 
 A whole text is cut where no token can cross: between a character that is not white space and white space
-after it (and between a letter or digit and a comma or full stop).
-The library encodes each distinct piece of a batch once; a two-generation cache of bounded size keeps pieces for
-later batches and tasks of the worker. The ids are those of the whole text, which tests compare.
+after it, and between a letter or digit and a comma or full stop. The library encodes each distinct piece once;
+a table of bounded size, by 64-bit hashes of pieces, keeps their ids for later batches and tasks of the worker.
+The ids are those of the whole text, which tests compare.
 
 Defined cases: a null text counts as empty and has no tokens; a text of any length is one row; repeated
 rows are encoded alike; other columns pass through where a function says so.
@@ -14,8 +14,6 @@ from __future__ import annotations
 import base64
 import codecs
 import hashlib
-import re
-from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,10 +21,41 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import process_cache, sliced, texts_of
-
-#: Pieces of up to this many characters are cached, this many in each of two generations.
-PIECE_CHARS, PIECES = 48, 350_000
+from .common import bytes_of, process_cache, sliced, texts_of
+from .shingles import BACK, STEP, mix, power
+
+#: Pieces that a worker remembers (about 40 bytes each).
+PIECES = 1_500_000
+_CASED = mix(np.arange(301, 557, dtype=np.uint64) * np.uint64(STEP)) | np.uint64(1)
+_WHITE, _WORD = np.zeros(256, bool), np.zeros(256, bool)
+_WHITE[[9, 10, 13, 32]] = True
+_WORD[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+#: The last three bytes of a text's white space of other kinds, as far as each kind has them.
+_ODD1 = np.isin(np.arange(256), [11, 12, 28, 29, 30, 31])
+_ODD2 = np.array([0xC285, 0xC2A0])
+_ODD3 = np.array([0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
+
+
+def _piece_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pieces begin: at texts, at a blank, tab or line end after a character that is no white space of any kind,
+    and at a comma or full stop after an ASCII letter or digit."""
+    white = _WHITE[raw]
+    cut = np.zeros(len(raw), bool)
+    cut[1:] = white[1:] & ~white[:-1]
+    cut[1:] |= ((raw[1:] == 44) | (raw[1:] == 46)) & _WORD[raw[:-1]]
+    at = np.flatnonzero(cut & white)
+    last = raw[at - 1]
+    odd = _ODD1[last]
+    far = np.flatnonzero(last >= 0x80)
+    if len(far):
+        i = at[far]
+        two = raw[i - 2].astype(np.int64) << 8 | raw[i - 1]
+        three = raw[np.maximum(i - 3, 0)].astype(np.int64) << 16 | two
+        odd[far] = np.isin(two, _ODD2) | np.isin(three, _ODD3)
+    cut[at[odd]] = False
+    heads = offsets[:-1][np.diff(offsets) > 0]
+    cut[heads] = True
+    return np.flatnonzero(cut)
 
 
 def byte_chars() -> list[str]:
@@ -78,59 +107,45 @@ def from_json(data: bytes):
     return tok, table
 
 
-class _Pieces(dict):
-    """The ids, as bytes, of pieces that come after a prefix: a young generation, and the one before."""
-
-    def __init__(self, prefix: str):
-        super().__init__()
-        self.prefix, self.old = prefix, {}
-        self.once: list[str] = []
-
-    def __missing__(self, piece: str) -> bytes:
-        found = self[piece] = self.old[piece]
-        return found
-
-    def learn(self, need: set[str], codec: Codec) -> None:
-        """Encodes those of need that are unknown. A comma or full stop after a letter or digit is a token apart, so
-        such a piece follows from the one without."""
-        old = self.old
-        need = {w for w in need if w not in self and w not in old}
-        ended = [w for w in need if w[-1] in ".," and w[-2:-1].isalnum()]
-        need.difference_update(ended)
-        need.update(b for w in ended if (b := w[:-1]) not in self and b not in old)
-        new = list(need)
-        coded = codec.tok.encode_batch_fast([self.prefix + w for w in new], add_special_tokens=False)
-        for w, e in zip(new, coded, strict=True):
-            self[w] = array("I", e.ids).tobytes()
-        for w in ended:
-            self[w] = self[w[:-1]] + codec.ends[w[-1]]
-        self.once = [w for w in (*new, *ended) if len(w) > PIECE_CHARS]
-
-    def age(self, most: int) -> None:
-        for w in self.once:
-            self.pop(w, None)
-        self.once = []
-        if len(self) > most:
-            self.old = dict(self)
-            self.clear()
+class _Pieces:
+    """The ids of pieces by their 64-bit hashes, in flat arrays; it starts anew beyond its bounds."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.starts, self.counts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The row of each key, -1 if unknown."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.rows[at], -1)
+
+    def add(self, keys: np.ndarray, ids: list[list[int]]) -> None:
+        counts = np.array([len(x) for x in ids], np.int64)
+        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(counts.sum()))
+        self.rows = np.concatenate([self.rows, len(self.starts) + np.arange(len(keys))])
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.flat = np.concatenate([self.flat, flat])
+        self.keys = np.concatenate([self.keys, keys])
+        order = np.argsort(self.keys, kind="stable")
+        self.keys, self.rows = self.keys[order], self.rows[order]
 
 
 class Codec:
     """Encodes and decodes texts of a batch. pattern: given for a rank file, None for the library's file."""
 
-    #: White space with the word after it, up to a comma or full stop that follows a letter or digit.
-    PIECE = re.compile(r"[ \t\n\r]*+[^ \t\n\r.,]++(?<=[^\W_])(?=[.,])|[ \t\n\r]*+[^ \t\n\r]++|[ \t\n\r]++")
-    #: White space of another kind before such white space would be one run with it: the text is not cut.
-    ODD = re.compile(r"[^\S \t\n\r][ \t\n\r]")
-
     def __init__(self, data: bytes, pattern: str | None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok, self.table = from_ranks(data, pattern) if pattern else from_json(data)
         self.sizes = np.array([len(t) for t in self.table], np.int64)
-        self.ends = {c: array("I", self.tok.encode(c, add_special_tokens=False).ids).tobytes() for c in ".,"}
-        self.spaced, self.lined, self.free = _Pieces(" "), _Pieces("\n"), _Pieces("")
+        self.pieces = _Pieces()
 
     @classmethod
     def of(cls, data: bytes, pattern: str | None) -> Codec:
@@ -141,45 +156,40 @@ class Codec:
             cache[key] = cls(data, pattern)
         return cache[key]
 
-    def _cut(self, text: str) -> tuple[list[str], list[list[str]]] | list[str]:
-        """Where each white space is one blank or line feed between words: the lines' first words and the others of each
-        line. Else the pieces."""
-        words = text.split()
-        if words and len(words) - 1 == text.count(" ") + text.count("\n") == len(text) - sum(map(len, words)):
-            lines = [line.split(" ") for line in text.split("\n")]
-            return [line.pop(0) for line in lines], lines
-        return [text] if self.ODD.search(text) else self.PIECE.findall(text)
+    def encode_bytes(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows' texts in one uint32 array, and where each row's begin (one more at the end)."""
+        n = len(raw)
+        if not n:
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        starts = _piece_starts(raw, offsets)
+        ends = np.append(starts[1:], n)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_CASED[raw] * power(STEP, n), out=sums[1:])
+        keys, first, back = np.unique(mix((sums[ends] - sums[starts]) * power(BACK, n)[starts] + (ends - starts).astype(np.uint64)), return_index=True, return_inverse=True)
+        rows = self.pieces.find(keys)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            if len(self.pieces.keys) + len(new) > PIECES or len(self.pieces.flat) > 8 * PIECES:
+                self.pieces.clear()
+                new = np.arange(len(keys))
+            data = raw.tobytes()
+            texts = [data[a:z].decode() for a, z in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
+            self.pieces.add(keys[new], [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)])
+            rows = self.pieces.find(keys)
+        row = rows[back]
+        counts = self.pieces.counts[row]
+        before = np.zeros(len(row) + 1, np.int64)
+        np.cumsum(counts, out=before[1:])
+        at = np.repeat(self.pieces.starts[row] - before[:-1], counts) + np.arange(before[-1])
+        return self.pieces.flat[at], before[np.searchsorted(starts, offsets)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each whole text, as little-endian unsigned 32-bit integers."""
-        cut = [self._cut(t) if t else [] for t in texts]
-        spaced: set[str] = set()
-        lined: set[str] = set()
-        free: set[str] = set()
-        for c in cut:
-            if isinstance(c, tuple):
-                free.add(c[0][0])
-                lined.update(c[0][1:])
-                spaced.update(*c[1])
-            else:
-                free.update(c)
-        for need, pieces in ((spaced, self.spaced), (lined, self.lined), (free, self.free)):
-            pieces.learn(need, self)
-        out = []
-        for c in cut:
-            if isinstance(c, tuple):
-                heads, lines = c
-                parts = [self.free[heads[0]], *map(self.spaced.__getitem__, lines[0])]
-                for head, words in zip(heads[1:], lines[1:], strict=True):
-                    parts.append(self.lined[head])
-                    parts += map(self.spaced.__getitem__, words)
-                out.append(b"".join(parts))
-            else:
-                out.append(b"".join(map(self.free.__getitem__, c)))
-        self.spaced.age(PIECES)
-        self.lined.age(PIECES // 8)
-        self.free.age(PIECES // 8)
-        return out
+        coded = [t.encode() for t in texts]
+        offsets = np.zeros(len(coded) + 1, np.int64)
+        np.cumsum([len(c) for c in coded], out=offsets[1:])
+        ids, at = self.encode_bytes(np.frombuffer(b"".join(coded), np.uint8), offsets)
+        return [ids[a:z].astype("<u4").tobytes() for a, z in zip(at[:-1], at[1:], strict=True)]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
@@ -201,11 +211,9 @@ class Codec:
         return (char[ends - self.sizes[ids]], char[ends - 1] + 1) if len(ids) else (ends, ends)
 
 
-def lists(flat: list[bytes]) -> pa.Array:
-    """Little-endian 32-bit ids of rows as a list column."""
-    offsets = np.zeros(len(flat) + 1, np.int32)
-    np.cumsum([len(x) // 4 for x in flat], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(flat), np.int32)))
+def lists(ids: np.ndarray, at: np.ndarray) -> pa.Array:
+    """32-bit ids of rows that begin at `at` as a list column."""
+    return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.view(np.int32)))
 
 
 def rows_of(ids: pa.Array) -> list[np.ndarray]:
@@ -233,12 +241,11 @@ def encode(docs: DataFrame, path: str, pattern: str | None = None, text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(data.value, pattern)
         for batch in sliced(batches, text_col):
-            texts = texts_of(batch.column(text_col))
-            coded = codec.encode(texts)
-            out = [batch.column(c) for c in kept] + [lists(coded)]
+            ids, at = codec.encode_bytes(*bytes_of(batch.column(text_col)))
+            out = [batch.column(c) for c in kept] + [lists(ids, at)]
             if offsets:
-                spans = [codec.offsets(t, np.frombuffer(c, np.uint32)) for t, c in zip(texts, coded, strict=True)]
-                out += [lists([s[k].astype(np.int32).tobytes() for s in spans]) for k in (0, 1)]
+                spans = [codec.offsets(t, ids[a:z]) for t, a, z in zip(texts_of(batch.column(text_col)), at[:-1], at[1:], strict=True)]
+                out += [lists(np.concatenate([s[k] for s in spans]).astype(np.int32), at) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(out, [*kept, *extra])
 
     return docs.select(kept).mapInArrow(run, schema)

@@ -5,14 +5,14 @@ from __future__ import annotations
 import numpy as np
 
 _M = (1 << 64) - 1
-_STEP = 0x9E3779B97F4A7C15
-_BACK = pow(_STEP, -1, 1 << 64)
+STEP = 0x9E3779B97F4A7C15
+BACK = pow(STEP, -1, 1 << 64)
 _ORDER = [np.uint64(pow(0xD6E8FEB86659FD93, k + 1, 1 << 64)) for k in range(64)]
 
 
 def _byte_values() -> np.ndarray:
     """An odd 64-bit value for each byte; A-Z share those of a-z."""
-    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP)) | np.uint64(1)
+    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(STEP)) | np.uint64(1)
     values[65:91] = values[97:123]
     return values
 
@@ -30,18 +30,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 _VALUES = _byte_values()
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_powers: dict[int, np.ndarray] = {}
+_known: dict[int, np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def power(base: int, n: int) -> np.ndarray:
     """base ** 0 .. n - 1 modulo 2 ** 64; kept between calls up to 8M entries."""
-    found = _powers.get(base)
+    found = _known.get(base)
     if found is None or len(found) < n:
         found = np.full(max(n, 1 << 16), base, np.uint64)
         found[0] = 1
         np.multiply.accumulate(found, out=found)
         if n <= 1 << 23:
-            _powers[base] = found
+            _known[base] = found
     return found[:n]
 
 
@@ -61,8 +61,8 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     after[tails[full]] = True
     starts, ends = np.flatnonzero(~space & before), np.flatnonzero(~space & after) + 1
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUES[raw] * _power(_STEP, n), out=sums[1:])
-    hashed = mix((sums[ends] - sums[starts]) * _power(_BACK, n)[starts] + (ends - starts).astype(np.uint64))
+    np.cumsum(_VALUES[raw] * power(STEP, n), out=sums[1:])
+    hashed = mix((sums[ends] - sums[starts]) * power(BACK, n)[starts] + (ends - starts).astype(np.uint64))
     return hashed, np.searchsorted(starts, offsets)
 
 

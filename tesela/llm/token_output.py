@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import Codec, lists, read_file, rows_of
-from .common import scratch, sliced, texts_of
+from .common import bytes_of, scratch, sliced
 
 END_ID = 0
 
@@ -32,12 +32,12 @@ def write_tokens(docs: DataFrame, out: str, tokenizer_path: str, end_id: int = E
     if encoding not in ("dictionary", "delta"):
         raise ValueError(f"encoding must be dictionary or delta, not {encoding!r}")
     data = docs.sparkSession.sparkContext.broadcast(read_file(tokenizer_path))
-    end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(data.value, None)
         for batch in sliced(batches, "text"):
-            ids = lists([c + end for c in codec.encode(texts_of(batch.column("text")))])
+            found, at = codec.encode_bytes(*bytes_of(batch.column("text")))
+            ids = lists(np.insert(found, at[1:], end_id), at + np.arange(len(at)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.compute.list_value_length(ids), ids], ["doc_id", "n_tokens", "ids"])
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
