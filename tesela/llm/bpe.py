@@ -25,7 +25,7 @@ from .common import bytes_of, process_cache, sliced, texts_of
 from .shingles import BACK, STEP, mix, power
 
 #: Pieces that a worker remembers (about 40 bytes each).
-PIECES = 1_500_000
+PIECES = 700_000
 _CASED = mix(np.arange(301, 557, dtype=np.uint64) * np.uint64(STEP)) | np.uint64(1)
 _WHITE, _WORD = np.zeros(256, bool), np.zeros(256, bool)
 _WHITE[[9, 10, 13, 32]] = True

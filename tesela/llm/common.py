@@ -116,7 +116,7 @@ def process_cache() -> dict:
     return sys.modules.setdefault("_tesela_cache", types.ModuleType("_tesela_cache")).__dict__
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a slice's column holds about `most` bytes; a longer text is alone."""
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -128,6 +128,20 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
             total += int(n)
         if batch.num_rows > at:
             yield batch.slice(at)
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory of the Python worker to the system, as idle workers live on beside the next stage."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def texts_of(column: pa.Array) -> list[str]:

@@ -34,13 +34,13 @@ _known: dict[int, np.ndarray] = {}
 
 
 def power(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. n - 1 modulo 2 ** 64; kept between calls up to 8M entries."""
+    """base ** 0 .. n - 1 modulo 2 ** 64; kept between calls up to 2M entries."""
     found = _known.get(base)
     if found is None or len(found) < n:
         found = np.full(max(n, 1 << 16), base, np.uint64)
         found[0] = 1
         np.multiply.accumulate(found, out=found)
-        if n <= 1 << 23:
+        if n <= 1 << 21:
             _known[base] = found
     return found[:n]
 
