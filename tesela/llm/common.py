@@ -108,6 +108,13 @@ def marked(bits_of: Column, at: Column) -> Column:
     return F.call_function("shiftright", word, F.pmod(at, F.lit(64).cast("long")).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
 
 
+def suspects(df: DataFrame, id_col: str, ids: DataFrame, bits: int = 1 << 22) -> tuple[DataFrame, DataFrame]:
+    """The rows of df whose id may be among ids (its single column), and the others. Only the first need a join, so only they
+    are shuffled for one."""
+    maybe = marked(bitmap(ids.select(slot([F.col(ids.columns[0])], bits).alias("slot")), bits), slot([F.col(id_col)], bits))
+    return df.where(maybe), df.where(~maybe)
+
+
 # ------------------------------------------------------------------------------- Arrow batches
 
 

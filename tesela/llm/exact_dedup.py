@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, lower_ascii, marked, slot, stored
+from .common import bitmap, lower_ascii, marked, slot, stored, suspects
 
 
 def _repeated(keys: DataFrame, bits: int):
@@ -58,8 +58,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone, stay = found.where("NOT kept").select(*pair), found.where("kept").select(*pair)
     same = lambda x, y: x["__id"].eqNullSafe(y["__id"]) & (x["__sha"] == y["__sha"])
     outright = gone.join(stay, same(gone, stay), "left_anti")
-    full = F.sha2(lower_ascii(F.coalesce(docs[text_col], F.lit(""))), 256)
-    left = docs.join(outright, docs[id_col].eqNullSafe(outright["__id"]) & (full == outright["__sha"]), "left_anti")
+    full = F.sha2(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), 256)
+    some, others = suspects(docs, id_col, gone.select("__id"))
+    some = some.withColumn("__full", full)
+    left = others.unionByName(some.join(outright, some[id_col].eqNullSafe(outright["__id"]) & (some["__full"] == outright["__sha"]), "left_anti").drop("__full"))
     again = gone.join(stay, same(gone, stay), "left_semi").distinct()
     if again.isEmpty():
         return left

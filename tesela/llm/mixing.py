@@ -35,7 +35,7 @@ WEIGHTS = {"clean": 0.90, "low": 0.04, "toxic": 0.06}
 FEATURES, EVIDENCE = 1 << 14, 40
 #: The bound of the classifier's fit: labelled documents of each domain.
 SAMPLE = 3000
-ROUNDS = 40
+ROUNDS = 20
 
 
 def domain() -> Column:
@@ -119,11 +119,14 @@ def _rate(steps: list[list[float]]) -> Column:
 
 def fit_rates(soft: DataFrame, weights: dict[str, float] = WEIGHTS, rounds: int = ROUNDS) -> tuple[Column, np.ndarray, np.ndarray]:
     """From rows __n, __p: the rate as an expression over __p, the domains' targets, and the expected tokens that
-    the rates reach. A step scales each domain's gap by the domain's tokens, which keeps it stable."""
+    the rates reach. A gradient step is scaled by the inverse of the domains' second moments, which bounds the curvature
+    of any set of documents with rates above 0."""
     d = len(DOMAINS)
     tokens = lambda rate: [F.sum(F.col("__n") * F.col("__p")[i] * rate).alias(f"t{i}") for i in range(d)]
-    read = lambda rate: np.array([x or 0.0 for x in soft.agg(*tokens(rate)).first()])
-    have = read(F.lit(1.0))
+    moments = [F.sum(F.col("__n") * F.col("__p")[i] * F.col("__p")[j]).alias(f"m{i}{j}") for i in range(d) for j in range(d)]
+    first = [x or 0.0 for x in soft.agg(*tokens(F.lit(1.0)), *moments).first()]
+    have, curve = np.array(first[:d]), np.array(first[d:]).reshape(d, d)
+    scale = np.linalg.pinv(curve, rcond=1e-9, hermitian=True)
     share = np.array([weights[k] for k in DOMAINS]) / sum(weights.values())
     anchor = int(np.argmax(share))
     target = np.minimum(share * have[anchor] / share[anchor], have)
@@ -131,10 +134,10 @@ def fit_rates(soft: DataFrame, weights: dict[str, float] = WEIGHTS, rounds: int
     reached = have
     for _ in range(rounds):
         gap = reached - target
-        if np.abs(gap).max() <= 1e-4 * max(1.0, target.sum()):
+        if np.abs(gap).max() <= 1e-3 * max(1.0, target.sum()):
             break
-        steps.append((gap / np.maximum(have, 1.0)).tolist())
-        reached = read(_rate(steps))
+        steps.append((scale @ gap).tolist())
+        reached = np.array([x or 0.0 for x in soft.agg(*tokens(_rate(steps))).first()])
     return _rate(steps), target, reached
 
 

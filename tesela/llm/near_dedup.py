@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, bytes_of, marked, sliced, slot, stored
+from .common import bitmap, bytes_of, marked, sliced, slot, stored, suspects
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -276,4 +276,5 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each group of near duplicates, with its own columns."""
     gone = stored(near_dedup(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "op3-gone")
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    some, others = suspects(docs, id_col, gone)
+    return others.unionByName(some.join(gone, some[id_col] == gone["__gone"], "left_anti"))

@@ -140,4 +140,5 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, with the columns of docs. Texts and statistics are written once,
     so the texts are measured once and never shuffled."""
     stats = kept_at(with_stats(docs), "op1-docs")[0]
-    return judged(stats, thresholds(stats)).where("__kept").select(*docs.columns)
+    bounds = kept_at(thresholds(stats), "op1-bounds")[0]  # of a known size, so that it is broadcast if it is small
+    return judged(stats, bounds).where("__kept").select(*docs.columns)
