@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,10 +25,6 @@ def synthetic(user: Column, created: Column, text: Column) -> Column:
 
 def synthetic_blake2s(df: DataFrame, user: str, created: str, text: str, out: str = "id") -> DataFrame:
     """synthetic() with BLAKE2s, which Spark lacks, for keys made by earlier tools."""
-    import hashlib
-
-    import pandas as pd
-
     @F.pandas_udf("string")
     def key(u: pd.Series, c: pd.Series, t: pd.Series) -> pd.Series:
         rows = zip(u.fillna(""), c.fillna(""), t.fillna(""), strict=True)
