@@ -3,6 +3,7 @@ fixed-size key bitmaps, text expressions and the slicing of Arrow batches by byt
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import tempfile
 import types
@@ -138,6 +139,18 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20)
     give_back()
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows at most while an eager step with wide rows runs."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def give_back() -> None:
     """Returns freed memory of the Python worker to the system, as idle workers live on beside the next stage."""
     import ctypes

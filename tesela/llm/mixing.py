@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, sliced, stored
+from .common import bytes_of, sliced, small_batches, stored
 from .shingles import word_hashes
 
 DOMAINS = ("clean", "low", "toxic")
@@ -76,7 +76,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(scale).cast("long")) < share[F.col("domain")]).select("doc_id", "domain")
     rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # 1.1 * sample rows of each domain at most, but for chance
     counts = np.zeros((len(DOMAINS), FEATURES + 1))
-    for r in rows.mapInArrow(_class_counts, "k int, f int, n long").groupBy("k", "f").agg(F.sum("n").alias("n")).collect():
+    with small_batches(docs.sparkSession, 2000):
+        found = rows.mapInArrow(_class_counts, "k int, f int, n long").groupBy("k", "f").agg(F.sum("n").alias("n")).collect()
+    for r in found:
         counts[r["k"], r["f"] + 1] = r["n"]
     prior = np.array([sizes.get(k, 0) + 1 for k in range(len(DOMAINS))], float)
     model[:, 0] = np.log(prior / prior.sum())
@@ -150,7 +152,9 @@ def copies_of(rate: Column, id_col: str) -> Column:
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:
     """doc_id, n_tokens, p_clean, p_low, p_toxic, rate, copies for every row of docs (doc_id, text)."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    soft = stored(posteriors(ids, fit(docs, labels), ["doc_id"]), "op4-soft")
+    model = fit(docs, labels)
+    with small_batches(docs.sparkSession, 2000):
+        soft = stored(posteriors(ids, model, ["doc_id"]), "op4-soft")
     rated = soft.withColumn("rate", fit_rates(soft, weights)[0])
     return rated.select("doc_id", F.col("__n").alias("n_tokens"), *[F.col("__p")[i].alias(f"p_{k}") for i, k in enumerate(DOMAINS)], "rate", copies_of(F.col("rate"), "doc_id").alias("copies"))
 
@@ -159,7 +163,9 @@ def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHT
     """docs, each row as often as its copies say, with its own columns. Texts are written once beside their
     posteriors and never shuffled."""
     own = docs.columns
-    wide = stored(posteriors(docs, fit(docs, labels), own), "op4-docs")
+    model = fit(docs, labels)
+    with small_batches(docs.sparkSession, 2000):
+        wide = stored(posteriors(docs, model, own), "op4-docs")
     rate = fit_rates(wide.select("__n", "__p"), weights)[0]
     counted = wide.withColumn("__copies", copies_of(rate, "doc_id")).where("__copies > 0")
     return counted.select(*own, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__k")).select(*own)

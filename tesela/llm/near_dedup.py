@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, bytes_of, marked, sliced, slot, stored, suspects
+from .common import bitmap, bytes_of, give_back, marked, sliced, slot, small_batches, stored, suspects
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -162,6 +162,8 @@ def _leaf_pairs(percent: int, everything: bool):
             rest = [x[cuts[-1] :] for x in rest]
             yield _pairs(found)
         yield _pairs(list(pairs_of(*rest[1:])))
+        rest = []
+        give_back()
 
     return run
 
@@ -174,7 +176,7 @@ def _confirm(percent: int):
     """Of rows a, b, sa, sb those whose full sets reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, 64) for whole in batches for at in range(0, whole.num_rows, 64)):
             found = []
             for a, b, sa, sb in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "sa", "sb")], strict=True):
                 x, y = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
@@ -182,6 +184,7 @@ def _confirm(percent: int):
                 if 100 * both >= percent * (len(x) + len(y) - both):
                     found.append((a, b))
             yield _pairs(found)
+        give_back()
 
     return run
 
@@ -220,14 +223,18 @@ def _compare(rows: DataFrame, reps: DataFrame, percent: int, everything: bool) -
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, bits: int) -> DataFrame:
     """The pairs whose full shingle sets, taken from the texts again, reach the threshold."""
-    pairs = stored(pairs, "op3-pairs")
+    spark = docs.sparkSession
+    with small_batches(spark, 2000):
+        pairs = stored(pairs, "op3-pairs")
     named = pairs.select(F.col("a").alias("x")).unionByName(pairs.select(F.col("b").alias("x")))
     some = bitmap(named.select(slot([F.col("x")], bits).alias("slot")), bits)
     own = docs.where(F.col("doc_id").isNotNull() & marked(some, slot([F.col("doc_id")], bits)))
-    sets = stored(own.mapInArrow(_full_sets, "doc_id long, shingles binary"), "op3-sets")
+    with small_batches(spark, 1000):
+        sets = stored(own.mapInArrow(_full_sets, "doc_id long, shingles binary"), "op3-sets")
     with_a = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
     with_b = with_a.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
-    return stored(with_b.mapInArrow(_confirm(percent), "a long, b long").distinct(), "op3-links")
+    with small_batches(spark, 500):
+        return stored(with_b.mapInArrow(_confirm(percent), "a long, b long").distinct(), "op3-links")
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -243,7 +250,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one in 10 ** 4 pairs at the very threshold.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = stored(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, set_key binary, sig binary, low binary"), "op3-sketch")
+    with small_batches(docs.sparkSession, 2000):
+        sketch = stored(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, set_key binary, sig binary, low binary"), "op3-sketch")
     named = sketch.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     folded = stored(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("set_size"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sig").alias("sig"), F.any_value("low").alias("low")), "op3-reps")
     reps = folded.select("rep", "n_shingles", "sig", "low")

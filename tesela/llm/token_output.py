@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import Codec, lists, read_file, rows_of
-from .common import bytes_of, scratch, sliced
+from .common import bytes_of, scratch, sliced, small_batches
 
 END_ID = 0
 
@@ -51,7 +51,8 @@ def write_tokens(docs: DataFrame, out: str, tokenizer_path: str, end_id: int = E
         "parquet.page.row.count.limit": page_rows,
         "parquet.dictionary.page.size": 1 << 20,
     }
-    tokens.write.options(**options).mode("overwrite").parquet(out)
+    with small_batches(docs.sparkSession, 2000):
+        tokens.write.options(**options).mode("overwrite").parquet(out)
 
 
 def read_tokens(spark: SparkSession, path: str, low: int | None = None, high: int | None = None) -> DataFrame:
