@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, bytes_of, give_back, marked, sliced, slot, small_batches, stored, suspects
+from .common import bitmap, bytes_of, drop, give_back, kept_at, marked, sliced, slot, small_batches, stored, suspects
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -224,17 +224,17 @@ def _compare(rows: DataFrame, reps: DataFrame, percent: int, everything: bool) -
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, bits: int) -> DataFrame:
     """The pairs whose full shingle sets, taken from the texts again, reach the threshold."""
     spark = docs.sparkSession
-    with small_batches(spark, 2000):
-        pairs = stored(pairs, "op3-pairs")
     named = pairs.select(F.col("a").alias("x")).unionByName(pairs.select(F.col("b").alias("x")))
     some = bitmap(named.select(slot([F.col("x")], bits).alias("slot")), bits)
     own = docs.where(F.col("doc_id").isNotNull() & marked(some, slot([F.col("doc_id")], bits)))
     with small_batches(spark, 1000):
-        sets = stored(own.mapInArrow(_full_sets, "doc_id long, shingles binary"), "op3-sets")
+        sets, at = kept_at(own.mapInArrow(_full_sets, "doc_id long, shingles binary"), "op3-sets")
     with_a = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
     with_b = with_a.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
     with small_batches(spark, 500):
-        return stored(with_b.mapInArrow(_confirm(percent), "a long, b long").distinct(), "op3-links")
+        links = stored(with_b.mapInArrow(_confirm(percent), "a long, b long").distinct(), "op3-links")
+    drop(spark, at)
+    return links
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -251,16 +251,21 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     with small_batches(docs.sparkSession, 2000):
-        sketch = stored(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, set_key binary, sig binary, low binary"), "op3-sketch")
-    named = sketch.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
+        wide, at = kept_at(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, set_key binary, sig binary, low binary"), "op3-wide")
+    named = wide.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     folded = stored(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("set_size"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sig").alias("sig"), F.any_value("low").alias("low")), "op3-reps")
     reps = folded.select("rep", "n_shingles", "sig", "low")
+    sketch = stored(wide.drop("sig", "low"), "op3-sketch")
+    drop(docs.sparkSession, at)
+    named = sketch.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
 
     leaves, over = _leaves(reps, trees, leaf, depth, percent)
     first = _compare(leaves.withColumn("comp", F.col("rep")), reps, percent, False)
     if over is not None:
         pivots = over.groupBy("node").agg(F.min("rep").alias("a"))
         first = first.unionByName(over.join(pivots, "node").where("rep > a").select("a", F.col("rep").alias("b"))).distinct()
+    with small_batches(docs.sparkSession, 2000):
+        first = stored(first, "op3-pairs")
     links = _confirmed(first, docs, percent, bitmap_bits)
 
     labels = stored(_labels(links), "op3-labels1")
@@ -271,8 +276,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         wide = mixed(at(over))
         cut = _blocks(wide, leaf)
         again = again.unionByName(mixed(at(cut)))
-    second = _compare(again.select("node", "rep", "comp"), reps, percent, True)
-    links2 = _confirmed(second.join(first.select("a", "b"), ["a", "b"], "left_anti"), docs, percent, bitmap_bits)
+    with small_batches(docs.sparkSession, 2000):
+        second = stored(_compare(again.select("node", "rep", "comp"), reps, percent, True).join(first, ["a", "b"], "left_anti"), "op3-pairs2")
+    links2 = _confirmed(second, docs, percent, bitmap_bits)
 
     roots = labels if links2.isEmpty() else stored(_labels(links.unionByName(links2)), "op3-labels2")
     by_set = folded.join(roots, folded["rep"] == roots["node"], "left").select("set_key", "set_size", F.coalesce("root", "rep").alias("component_id"))
