@@ -6,7 +6,8 @@ its labelled rows. A text gets the language of the centroid with the largest cos
 that centroid's own training texts, it is marked rejected, and the language stays as the best guess.
 
 Defined cases: a null text or one without a letter is `und` with score 0; with no labelled rows at all everything
-is; repeated rows are predicted alike; null languages are never learned; further columns are ignored.
+is; repeated rows are predicted alike; null languages and rows without an id are never learned; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -99,17 +100,17 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 10) -> tuple[np.ndarray, np.n
 
 def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> dict | None:
     """The model: languages of the centroids, centroids, rejection distances and idf. Of each language about
-    `sample` labelled texts, chosen by a hash of their ids, are read."""
-    known = docs.where(learnable() & F.col("lang").isNotNull() & has_letter()).select("doc_id", "lang", "text")
+    `sample` labelled texts, chosen by a hash of their ids and texts, are read."""
+    known = docs.where(learnable() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & has_letter()).select("doc_id", "lang", "text")
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
     scale = 1 << 30
     share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(scale, int(1.2 * sample / n * scale) + 1))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(scale).cast("long"))
-    chosen = known.where((draw < share[F.col("lang")]) | F.col("doc_id").isNull())
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(6)), F.lit(scale).cast("long"))
+    chosen = known.where(draw < share[F.col("lang")])
     rows = chosen.mapInArrow(_count_rows, "doc_id long, lang string, c binary").collect()
-    rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, bytes(r["c"])))
+    rows.sort(key=lambda r: (r["doc_id"], bytes(r["c"])))
     taken: dict[str, list[np.ndarray]] = {}
     for r in rows:
         if len(taken.setdefault(r["lang"], [])) < sample:
