@@ -25,6 +25,17 @@ from .bpe import Codec, lists, read_file, rows_of
 from .common import bytes_of, scratch, sliced, small_batches
 
 END_ID = 0
+#: Stored bytes of texts that a token file is made from at most; a reader holds one file at a time.
+FILE_BYTES = 128 << 20
+
+
+def _ranges(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) range-partitioned by doc_id into the session's number of shuffle partitions, or into
+    more where the planner's estimate of docs asks for files of FILE_BYTES."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    parts, usual = -(-size // FILE_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # an estimate beyond any real table means that the planner has none
+    return docs.repartitionByRange(parts, "doc_id") if usual < parts <= 1 << 20 else docs.repartitionByRange("doc_id")
 
 
 def write_tokens(docs: DataFrame, out: str, tokenizer_path: str, end_id: int = END_ID, encoding: str = "dictionary", row_group_bytes: int = 32 << 20, page_bytes: int = 256 << 10, page_rows: int = 2_000) -> None:
@@ -40,7 +51,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer_path: str, end_id: int = E
             ids = lists(np.insert(found, at[1:], end_id), at + np.arange(len(at)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.compute.list_value_length(ids), ids], ["doc_id", "n_tokens", "ids"])
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = _ranges(docs.select("doc_id", "text")).sortWithinPartitions("doc_id", "text")
     tokens = ordered.mapInArrow(run, "doc_id long, n_tokens int, ids array<int>")
     options = {
         "compression": "snappy",
@@ -86,7 +97,8 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
     name = F.element_at(F.split("path", "/"), -1).alias("name")
     rows = files.select(name, "content").mapInArrow(_index_of, "name string, doc_id long, inside long, n_tokens long, ids_crc32 long")
     lengths = spark.read.schema("n_tokens int").parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.sum("n_tokens").alias("total"))
-    before = lengths.select("file", (F.sum("total").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("before"))
+    part = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
+    before = lengths.select("file", (F.sum("total").over(Window.orderBy(part, "file").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("before"))
     placed = rows.join(before, F.col("file") == F.col("name"))
     return placed.select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
