@@ -32,7 +32,7 @@ FILE_BYTES = 128 << 20
 def _ranges(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) range-partitioned by doc_id into the session's number of shuffle partitions, or into
     more where the planner's estimate of docs asks for files of FILE_BYTES."""
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     parts, usual = -(-size // FILE_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # an estimate beyond any real table means that the planner has none
     return docs.repartitionByRange(parts, "doc_id") if usual < parts <= 1 << 20 else docs.repartitionByRange("doc_id")
