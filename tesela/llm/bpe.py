@@ -3,7 +3,8 @@
 A whole text is cut where no token can cross: between a character that is not white space and white space
 after it, and between a letter or digit and a comma or full stop. The library encodes each distinct piece once;
 a table of bounded size, by 64-bit hashes of pieces, keeps their ids for later batches and tasks of the worker.
-The ids are those of the whole text, which tests compare.
+New pieces go to the library many in one text where the same rule cuts between them, and the tokens' bytes tell whose
+ids are whose. The ids are those of the whole text, which tests compare.
 
 Defined cases: a null text counts as empty and has no tokens; a text of any length is one row; repeated
 rows are encoded alike; other columns pass through where a function says so.
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from .common import bytes_of, process_cache, sliced, texts_of
 from .shingles import BACK, STEP, mix, power
 
-#: Pieces that a worker remembers (about 40 bytes each).
-PIECES = 700_000
+#: Pieces that a worker remembers (about 40 bytes each), and new ones that the library gets in one text.
+PIECES, JOINED = 700_000, 128
 _CASED = mix(np.arange(301, 557, dtype=np.uint64) * np.uint64(STEP)) | np.uint64(1)
 _WHITE, _WORD = np.zeros(256, bool), np.zeros(256, bool)
 _WHITE[[9, 10, 13, 32]] = True
@@ -124,9 +125,8 @@ class _Pieces:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.rows[at], -1)
 
-    def add(self, keys: np.ndarray, ids: list[list[int]]) -> None:
-        counts = np.array([len(x) for x in ids], np.int64)
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(counts.sum()))
+    def add(self, keys: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> None:
+        """flat: the ids of all keys' pieces, counts of them each."""
         self.rows = np.concatenate([self.rows, len(self.starts) + np.arange(len(keys))])
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
@@ -156,6 +156,27 @@ class Codec:
             cache[key] = cls(data, pattern)
         return cache[key]
 
+    def _ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def _encode_new(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order of the pieces raw[starts:ends], their ids in that order in one array, and how many each has. A piece that
+        begins with white space may follow one that ends with an ASCII character that is none."""
+        last = raw[ends - 1]
+        joins = _WHITE[raw[starts]] & (last < 0x80) & ~_WHITE[last] & ~_ODD1[last]
+        order, m = np.argsort(~joins, kind="stable"), int(joins.sum())
+        data = raw.tobytes()
+        pieces = [data[a:z] for a, z in zip(starts[order].tolist(), ends[order].tolist(), strict=True)]
+        alone = self._ids(pieces[m:])
+        flat = np.concatenate([np.zeros(0, np.uint32), *self._ids([b"".join(pieces[i : min(i + JOINED, m)]) for i in range(0, m, JOINED)])])
+        token_ends, piece_ends = np.cumsum(self.sizes[flat]), np.cumsum([len(p) for p in pieces[:m]], dtype=np.int64)
+        cut = np.searchsorted(token_ends, piece_ends)
+        if m and (token_ends[-1] != piece_ends[-1] or (token_ends[cut] != piece_ends).any()):  # tokens that do not spell the text
+            alone, m = self._ids(pieces[:m]) + alone, 0
+            flat, cut = flat[:0], cut[:0]
+        counts = np.concatenate([np.diff(cut, prepend=-1), np.array([len(x) for x in alone], np.int64)])
+        return order, np.concatenate([flat, *alone]), counts
+
     def encode_bytes(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows' texts in one uint32 array, and where each row's begin (one more at the end)."""
         n = len(raw)
@@ -172,9 +193,8 @@ class Codec:
             if len(self.pieces.keys) + len(new) > PIECES or len(self.pieces.flat) > 8 * PIECES:
                 self.pieces.clear()
                 new = np.arange(len(keys))
-            data = raw.tobytes()
-            texts = [data[a:z].decode() for a, z in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
-            self.pieces.add(keys[new], [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)])
+            order, flat, counts = self._encode_new(raw, starts[first[new]], ends[first[new]])
+            self.pieces.add(keys[new[order]], flat, counts)
             rows = self.pieces.find(keys)
         row = rows[back]
         counts = self.pieces.counts[row]

@@ -194,6 +194,19 @@ def test_ids_are_those_of_the_whole_text(codec, reference_encoding, text):
     assert all(text[a:z].encode().find(codec.table[i]) >= 0 for a, z, i in zip(start, end, ids, strict=True))
 
 
+@settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(alphabet=" \n\t\x0b\x1c\x85\xa0\u3000.,'s_ab1é日½<|>", max_size=40), min_size=1, max_size=60))
+def test_new_pieces_encoded_together_keep_their_ids(reference_encoding, codec, texts):
+    codec.pieces.clear()
+    assert [np.frombuffer(x, np.uint32).tolist() for x in codec.encode(texts)] == [reference_encoding.encode_ordinary(t) for t in texts]
+
+
+def test_pieces_whose_tokens_do_not_spell_them_are_encoded_alone(reference_encoding):
+    codec = bpe.Codec(bpe.read_file(tokenizer("byte_bpe_50k.tiktoken")), split_pattern())
+    codec.sizes = codec.sizes + 1
+    assert np.frombuffer(codec.encode([LOREM])[0], np.uint32).tolist() == reference_encoding.encode_ordinary(LOREM)
+
+
 def test_bpe_round_trip(odd, reference_encoding):
     got = bpe.round_trip(odd, tokenizer("byte_bpe_50k.tiktoken"), split_pattern()).collect()
     want = Counter((i, len(e := reference_encoding.encode_ordinary(t or "")), hashlib.sha256(np.array(e, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in ODD)
