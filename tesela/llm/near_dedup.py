@@ -65,7 +65,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "text", 2 << 20):
+    for batch in sliced(batches, "text", 1 << 19):
         sets = shingle_sets(*bytes_of(batch.column("text")))
         yield pa.RecordBatch.from_arrays(
             [
@@ -80,7 +80,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "text", 2 << 20):
+    for batch in sliced(batches, "text", 1 << 19):
         sets = shingle_sets(*bytes_of(batch.column("text")))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "shingles"])
 
