@@ -1,9 +1,11 @@
 """License scan by conditional compression.
 
 A built-in regular expression keeps texts with a trigger word. Inside them a block is a run of lines with
-triggers (gaps of up to three lines closed). Each block is compressed with zstandard plain and with each
-template as raw dictionary; templates are ranked by the share of bytes they save, and the best ones are confirmed
-by their exact wording differences from the block, word by word.
+triggers (gaps of up to three lines closed). Every template's wording is looked for in the whole block, by word
+alignment; only a template that lacks too many of its words in the block is left out unaligned. Each license whose wording is
+met gives a row of its own, and what is left is looked through again. Blocks that hold triggers outside confirmed
+licenses are compressed with zstandard plain and with each template as raw dictionary, and go, unconfirmed, to the template that
+saves the greatest share of bytes. That share is also given for confirmed licenses.
 
 Defined cases: a null or empty text has no blocks; a block of any length is compared whole with every
 template; repeated rows give the same findings again; other columns are ignored; ties in the saving go to the first
@@ -14,8 +16,10 @@ from __future__ import annotations
 
 import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -71,6 +75,10 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 
 SCHEMA = "doc_id long, start int, end int, license string, reduction double, n_differences int, differences string, confirmed boolean"
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*", re.UNICODE)
+#: Words as the aligner compares them: parts of a hyphenated name are words of their own.
+_PART = re.compile(r"[^\W_]+(?:\.[^\W_]+)*", re.UNICODE)
+#: What stands for a word that a confirmed license has taken, and a cost beyond any bound on differences.
+TAKEN, NEVER = "", 1000
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
@@ -109,11 +117,75 @@ def differences(block: str, template: str) -> tuple[list[str], int, int]:
     return out, sum(m.size for m in runs), len(a)
 
 
+class Words:
+    """The words of a text with their places, as the aligner compares them."""
+
+    def __init__(self, text: str):
+        found = list(_PART.finditer(text))
+        self.text, self.raw, self.at = text, [m.group().lower() for m in found], [m.span() for m in found]
+        self.words = list(self.raw)
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+
+def _costs(a: Words, b: Words, ids: dict[str, int]) -> Iterator[np.ndarray]:
+    """For 0, 1, ... all words of a: least word differences between them and some run of b that ends before each place of b.
+    A word that a confirmed license has taken is never passed over."""
+    codes = np.array([ids.setdefault(w, len(ids)) for w in b.words], np.int64)
+    extra = np.where(codes == ids.get(TAKEN, -1), NEVER, 1)
+    step = np.concatenate([[0], np.cumsum(extra)])
+    row = np.zeros(len(b) + 1, np.int64)
+    yield row
+    for w in a.words:
+        after = row + 1
+        np.minimum(after[1:], row[:-1] + np.where(codes == ids.setdefault(w, len(ids)), 0, extra), out=after[1:])
+        row = np.minimum.accumulate(after - step) + step
+        yield row
+
+
+def _aligned(a: Words, b: Words, lo: int, hi: int) -> tuple[int, list[str]]:
+    """Where the run of b that ends at hi begins, not before lo, and its wording differences from a."""
+    piece = Words("")
+    piece.words, piece.raw = b.words[lo:hi], b.raw[lo:hi]
+    table = np.array(list(_costs(a, piece, {})))
+    i, j, moves = len(a), hi - lo, []
+    while i:
+        if j and a.words[i - 1] == piece.words[j - 1] and table[i, j] == table[i - 1, j - 1]:
+            i, j = i - 1, j - 1
+            moves.append(((), ()) if a.raw[i] == piece.raw[j] else ((a.raw[i],), (piece.raw[j],)))
+        elif j and table[i, j] == table[i - 1, j - 1] + 1:
+            i, j = i - 1, j - 1
+            moves.append(((a.raw[i],), (piece.raw[j],)))
+        elif table[i, j] == table[i - 1, j] + 1:
+            i -= 1
+            moves.append(((a.raw[i],), ()))
+        else:
+            j -= 1
+            moves.append(((), (piece.raw[j],)))
+    out: list[str] = []
+    less: list[str] = []
+    more: list[str] = []
+    for gone, come in [*moves[::-1], ((), ())]:
+        less, more = [*less, *gone], [*more, *come]
+        if not gone and not come:
+            out += ["-" + " ".join(less)] * bool(less) + ["+" + " ".join(more)] * bool(more)
+            less, more = [], []
+    return lo + j, out
+
+
 class Scanner:
-    def __init__(self, templates: dict[str, tuple[str, ...]], level: int = 9):
+    def __init__(self, templates: dict[str, tuple[str, ...]], share: float = 0.8, level: int = 9):
         self.plain = zstandard.ZstdCompressor(level=level, write_checksum=False)
         made = lambda t: zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
         self.templates = [(name, t, made(t)) for name in sorted(templates) for t in templates[name]]
+        self.words = [Words(t) for _, t, _ in self.templates]
+        self.bags = [Counter(w.words) for w in self.words]
+        self.most = [int((1 - share) * len(w) + 1e-9) for w in self.words]
+
+    def saved(self, block: str, k: int) -> float:
+        raw = block.encode()
+        return 1 - len(self.templates[k][2].compress(raw)) / len(self.plain.compress(raw))
 
     def ranked(self, block: str) -> list[tuple[float, str, str]]:
         """(reduction, license, template), most saved first."""
@@ -121,31 +193,62 @@ class Scanner:
         base = len(self.plain.compress(raw))
         return sorted(((1 - len(z.compress(raw)) / base, name, t) for name, t, z in self.templates), key=lambda x: (-x[0], x[1]))
 
-    def judge(self, block: str, tries: int, share: float) -> tuple[str, float, list[str], bool]:
-        """The winner: the first of the best `tries` templates of which `share` of the words stand in the block, fewest
-        differences first; else the best by reduction, unconfirmed."""
-        best = self.ranked(block)[:tries]
-        checked = [(differences(block, t), r, name) for r, name, t in best]
-        good = [(len(d), -r, name, d) for (d, found, n), r, name in checked if found >= share * n and n]
-        if good:
-            n, r, name, d = min(good, key=lambda x: x[:3])
-            return name, -r, d, True
-        (d, _, _), r, name = checked[0]
-        return name, r, d, False
+    def _found(self, b: Words) -> list[tuple[int, int, int, int, list[str]]]:
+        """(words met, negative; template; first word; end; differences) of every place where a template's wording stands.
+        A template that lacks more words in b than it may differ by is left out: each is one difference at least."""
+        bag, ids, out = Counter(b.words), {}, []
+        for k, a in enumerate(self.words):
+            if not len(a) or sum((self.bags[k] - bag).values()) > self.most[k]:
+                continue
+            *_, cost = _costs(a, b, ids)
+            near = np.flatnonzero((cost <= self.most[k]) & (cost <= np.append(cost[1:], len(a) + 1)) & (cost <= np.insert(cost[:-1], 0, len(a) + 1)))
+            for end in near.tolist():
+                first, diff = _aligned(a, b, max(0, end - 2 * len(a) - 40), end)
+                if first < end:
+                    out.append((int(cost[end]) - len(a), k, first, end, diff))
+        return sorted(out)
+
+    def confirmed(self, block: str) -> list[tuple[int, int, int, list[str]]]:
+        """(start, end, template, differences) of all licenses in the block whose wording is met, longest first; what is
+        left of the block after them is looked through again until nothing more is found."""
+        b, spans = Words(block), []
+        while True:
+            taken = []
+            for _, k, first, end, diff in self._found(b):
+                if all(end <= x or y <= first for x, y in taken):
+                    taken.append((first, end))
+                    spans.append((b.at[first][0], b.at[end - 1][1], k, diff))
+            if not taken:
+                return sorted(spans, key=lambda x: x[:2])
+            for first, end in taken:
+                b.words[first:end] = [TAKEN] * (end - first)
+
+    def judge(self, block: str) -> list[tuple[int, int, str, float, list[str], bool]]:
+        """(start, end, license, reduction, differences, confirmed) of all that is found in the block: each confirmed license,
+        and for triggers outside them the template that saves most, unconfirmed."""
+        sure = self.confirmed(block)
+        out = [(x, y, self.templates[k][0], self.saved(block[x:y], k), diff, True) for x, y, k, diff in sure]
+        edges = [0, *[e for x, y, _, _ in sure for e in (x, y)], len(block)]
+        for lo, hi in zip(edges[::2], edges[1::2], strict=True):
+            for x, y in blocks(block[lo:hi]):
+                rest = block[lo + x : lo + y]
+                saved, name, template = self.ranked(rest)[0]
+                out.append((lo + x, lo + y, name, saved, differences(rest, template)[0], False))
+        return sorted(out, key=lambda x: x[:2])
 
 
-def license_scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, tries: int = 5, share: float = 0.8) -> DataFrame:
-    """One row for each block of each document of docs (doc_id, text): doc_id, start, end (characters), license,
-    reduction, n_differences, differences, confirmed."""
+def license_scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, share: float = 0.8) -> DataFrame:
+    """One row for each license and each unconfirmed block of each document of docs (doc_id, text): doc_id, start, end
+    (characters), license, reduction, n_differences, differences, confirmed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates)
+        scanner = Scanner(templates, share)
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text")), strict=True):
                 for start, end in blocks(text):
-                    name, saved, diff, sure = scanner.judge(text[start:end], tries, share)
-                    rows.append((doc, start, end, name, round(saved, 6), len(diff), " ".join(diff), sure))
+                    for x, y, name, saved, diff, sure in scanner.judge(text[start:end]):
+                        rows.append((doc, start + x, start + y, name, round(saved, 6), len(diff), " ".join(diff), sure))
             types = (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.string(), pa.bool_())
             names = [c.split()[0] for c in SCHEMA.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)

@@ -299,6 +299,20 @@ def test_license_wording_differences():
     assert diff == ["-2.0", "+3.0"] and (found, n) == (6, 7)
 
 
+def licenses(text):
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    return [(r[2], text[x:y][r[0] : r[1]]) for x, y in license_scan.blocks(text) for r in scanner.judge(text[x:y]) if r[5]]
+
+
+def test_license_scan_gives_every_license_of_a_block(spark):
+    lines = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3.", "Licensed under CC BY-NC 4.0.", "All rights reserved."]
+    names = ["MIT", "Apache-2.0", "GPL-3.0", "CC-BY-NC-4.0", "Proprietary"]
+    assert licenses("\n".join(lines)) == [(n, x.rstrip(".")) for n, x in zip(names, lines, strict=True)]
+    assert [n for n, _ in licenses("\n".join(lines[:1] * 3))] == ["MIT"] * 3
+    got = license_scan.license_scan(spark.createDataFrame([(1, "a\n" + "\n".join(lines[:2]))], "doc_id long, text string")).collect()
+    assert sorted((r["start"], r["license"], r["confirmed"]) for r in got) == [(2, "MIT", True), (34, "Apache-2.0", True)]
+
+
 def test_mixing_meets_targets(docs, labels, odd):
     soft = stored(mixing.posteriors(docs, mixing.fit(docs, labels), ["doc_id"]), "test-soft")
     rate, target, reached = mixing.fit_rates(soft)
