@@ -2,7 +2,9 @@
 
 A built-in regular expression keeps texts with a trigger word. Inside them a block is a run of lines with
 triggers (gaps of up to three lines closed). Every template's wording is looked for in the whole block, by word
-alignment; only a template that lacks too many of its words in the block is left out unaligned. Each license whose wording is
+alignment; only a template that lacks too many of its words in the block is left out unaligned. A wording is met
+if at most a fifth as many words differ as the template has, none of which names the license (its name, its version, NC, ND, SA,
+Lesser, Affero, a further clause). Each license whose wording is
 met gives a row of its own, and what is left is looked through again. Blocks that hold triggers outside confirmed
 licenses are compressed with zstandard plain and with each template as raw dictionary, and go, unconfirmed, to the template that
 saves the greatest share of bytes. That share is also given for confirmed licenses.
@@ -30,6 +32,44 @@ from .common import texts_of
 TRIGGERS = r"(?i)licen[cs]|copyright|spdx|warrant|rights reserved|creative commons|public domain"
 GAP = 3
 
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution."
+)
+
+
+def _gnu(kind: str, version: str, name: str) -> tuple[str, ...]:
+    """The notices of a license of the GNU family; kind is "", "Lesser " or "Affero "."""
+    short, number = name.rsplit("-", 1)
+    header = (
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by "
+        f"the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This program is distributed in the hope "
+        "that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
+        f"See the GNU {kind}General Public License for more details."
+    )
+    return (
+        f"This work is licensed under the GNU {kind}General Public License, version {version}.",
+        f"Released under the GNU {kind}General Public License v{version}.",
+        f"Released under {short} v{version}.",
+        f"Released under {short}v{version}.",
+        header,
+        header.replace("This program", "This library"),
+        f"SPDX-License-Identifier: {short}-{number}",
+        f"SPDX-License-Identifier: {short}-{number}-only",
+        f"SPDX-License-Identifier: {short}-{number}-or-later",
+    )
+
+
+def _cc(short: str, full: str) -> tuple[str, ...]:
+    return (
+        f"Licensed under CC {short} 4.0.",
+        f"This work is licensed under a Creative Commons {full} 4.0 International License.",
+        f"SPDX-License-Identifier: CC-{short}-4.0",
+    )
+
+
 #: The usual wordings of public licenses, headers and notices.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "Apache-2.0": (
@@ -40,26 +80,32 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "See the License for the specific language governing permissions and limitations under the License.",
         "SPDX-License-Identifier: Apache-2.0",
     ),
+    "AGPL-3.0": _gnu("Affero ", "3", "AGPL-3.0"),
+    "BSD-2-Clause": ("Released under the BSD 2-Clause License.", _BSD, "SPDX-License-Identifier: BSD-2-Clause"),
     "BSD-3-Clause": (
         "Released under the BSD License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
-        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
-        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
-        "and/or other materials provided with the distribution.",
+        "Released under the BSD 3-Clause License.",
+        f"{_BSD} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only"),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope "
-        "that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
-        "See the GNU General Public License for more details.",
-        "SPDX-License-Identifier: GPL-3.0-only",
+    "CC-BY-4.0": _cc("BY", "Attribution"),
+    "CC-BY-NC-4.0": _cc("BY-NC", "Attribution-NonCommercial"),
+    "CC-BY-NC-ND-4.0": _cc("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+    "CC-BY-NC-SA-4.0": _cc("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    "CC-BY-ND-4.0": _cc("BY-ND", "Attribution-NoDerivatives"),
+    "CC-BY-SA-4.0": _cc("BY-SA", "Attribution-ShareAlike"),
+    "CC0-1.0": ("Released under CC0.", "Released under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0"),
+    "GPL-2.0": _gnu("", "2", "GPL-2.0"),
+    "GPL-3.0": _gnu("", "3", "GPL-3.0"),
+    "ISC": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+        "copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC",
     ),
+    "LGPL-2.1": _gnu("Lesser ", "2.1", "LGPL-2.1"),
+    "LGPL-3.0": _gnu("Lesser ", "3", "LGPL-3.0"),
     "MIT": (
         "Released under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
@@ -77,6 +123,14 @@ SCHEMA = "doc_id long, start int, end int, license string, reduction double, n_d
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*", re.UNICODE)
 #: Words as the aligner compares them: parts of a hyphenated name are words of their own.
 _PART = re.compile(r"[^\W_]+(?:\.[^\W_]+)*", re.UNICODE)
+#: Words that tell a license from its relatives, as every word with a digit does: a difference in one is never passed over.
+NAMING = frozenset(
+    "mit bsd isc apache gnu gpl lgpl agpl lesser library affero mozilla mpl cc nc nd sa cc0 attribution noncommercial noderivatives noderivs sharealike "
+    "commercial derivatives unlicense unencumbered spdx only later not no neither endorse advertising sublicense sell clause eclipse epl public domain rights".split()
+)
+#: Words right after a license that make it another one, and words before it that deny it.
+GOES_ON = {"BSD-2-Clause": frozenset(("neither", "endorse", "advertising"))}
+DENIED = frozenset(("not", "never", "no", "nicht", "non"))
 #: What stands for a word that a confirmed license has taken, and a cost beyond any bound on differences.
 TAKEN, NEVER = "", 1000
 
@@ -117,29 +171,40 @@ def differences(block: str, template: str) -> tuple[list[str], int, int]:
     return out, sum(m.size for m in runs), len(a)
 
 
+def _plain(word: str) -> str:
+    """Versions in one form: v3, 3.0 and 3 are the same."""
+    return re.sub(r"^v(?=\d)|(?<=\d)(?:\.0)+$", "", word) if any(c.isdigit() for c in word) else word
+
+
 class Words:
-    """The words of a text with their places, as the aligner compares them."""
+    """The words of a text with their places, as the aligner compares them, and what one more of them costs: list numbers
+    nothing, naming words and words that a confirmed license has taken more than any license may differ by."""
 
     def __init__(self, text: str):
         found = list(_PART.finditer(text))
         self.text, self.raw, self.at = text, [m.group().lower() for m in found], [m.span() for m in found]
-        self.words = list(self.raw)
+        self.words = [_plain(w) for w in self.raw]
+        self.extra = [0 if self._numbers(k) else NEVER if w in NAMING or any(c.isdigit() for c in w) else 1 for k, w in enumerate(self.words)]
+
+    def _numbers(self, k: int) -> bool:
+        """Whether word k is the number of a list's item, as in "2. Redistributions" and not in "version 2. You"."""
+        after = self.text[self.at[k][1] : self.at[k][1] + 2]
+        return len(self.raw[k]) < 3 and self.raw[k].isdigit() and after[:1] in (".", ")") and after[1:].isspace() and not (k and self.raw[k - 1] in ("version", "v", "gpl"))
 
     def __len__(self) -> int:
         return len(self.words)
 
 
 def _costs(a: Words, b: Words, ids: dict[str, int]) -> Iterator[np.ndarray]:
-    """For 0, 1, ... all words of a: least word differences between them and some run of b that ends before each place of b.
-    A word that a confirmed license has taken is never passed over."""
-    codes = np.array([ids.setdefault(w, len(ids)) for w in b.words], np.int64)
-    extra = np.where(codes == ids.get(TAKEN, -1), NEVER, 1)
+    """For 0, 1, ... all words of a: least cost of the word differences between them and some run of b that ends before each
+    place of b."""
+    codes, extra = np.array([ids.setdefault(w, len(ids)) for w in b.words], np.int64), np.array(b.extra, np.int64)
     step = np.concatenate([[0], np.cumsum(extra)])
     row = np.zeros(len(b) + 1, np.int64)
     yield row
-    for w in a.words:
-        after = row + 1
-        np.minimum(after[1:], row[:-1] + np.where(codes == ids.setdefault(w, len(ids)), 0, extra), out=after[1:])
+    for w, lost in zip(a.words, a.extra, strict=True):
+        after = row + lost
+        np.minimum(after[1:], row[:-1] + np.where(codes == ids.setdefault(w, len(ids)), 0, np.maximum(extra, lost)), out=after[1:])
         row = np.minimum.accumulate(after - step) + step
         yield row
 
@@ -147,17 +212,17 @@ def _costs(a: Words, b: Words, ids: dict[str, int]) -> Iterator[np.ndarray]:
 def _aligned(a: Words, b: Words, lo: int, hi: int) -> tuple[int, list[str]]:
     """Where the run of b that ends at hi begins, not before lo, and its wording differences from a."""
     piece = Words("")
-    piece.words, piece.raw = b.words[lo:hi], b.raw[lo:hi]
+    piece.words, piece.raw, piece.extra = b.words[lo:hi], b.raw[lo:hi], b.extra[lo:hi]
     table = np.array(list(_costs(a, piece, {})))
     i, j, moves = len(a), hi - lo, []
     while i:
         if j and a.words[i - 1] == piece.words[j - 1] and table[i, j] == table[i - 1, j - 1]:
             i, j = i - 1, j - 1
             moves.append(((), ()) if a.raw[i] == piece.raw[j] else ((a.raw[i],), (piece.raw[j],)))
-        elif j and table[i, j] == table[i - 1, j - 1] + 1:
+        elif j and table[i, j] == table[i - 1, j - 1] + max(a.extra[i - 1], piece.extra[j - 1]):
             i, j = i - 1, j - 1
             moves.append(((a.raw[i],), (piece.raw[j],)))
-        elif table[i, j] == table[i - 1, j] + 1:
+        elif table[i, j] == table[i - 1, j] + a.extra[i - 1]:
             i -= 1
             moves.append(((a.raw[i],), ()))
         else:
@@ -204,10 +269,18 @@ class Scanner:
             near = np.flatnonzero((cost <= self.most[k]) & (cost <= np.append(cost[1:], len(a) + 1)) & (cost <= np.insert(cost[:-1], 0, len(a) + 1)))
             for end in near.tolist():
                 first, diff = _aligned(a, b, max(0, end - 2 * len(a) - 40), end)
-                if first < end:
+                if first < end and self._stands(k, b, first, end):
                     out.append((int(cost[end]) - len(a), k, first, end, diff))
         return sorted(out)
 
+    def _stands(self, k: int, b: Words, first: int, end: int) -> bool:
+        """Whether the place is the license itself: neither a part of a longer name (MIT-0, GPL-2.0+), nor denied, nor
+        gone on with what makes it another license."""
+        low, high = b.at[first][0], b.at[end - 1][1]
+        if b.text[high : high + 1] == "+" or re.match(r"-\w", b.text[high : high + 2]) or b.text[max(0, low - 1) : low] == "-":
+            return False
+        return not DENIED & set(b.raw[max(0, first - 2) : first]) and not GOES_ON.get(self.templates[k][0], DENIED - DENIED) & set(b.raw[end : end + 12])
+
     def confirmed(self, block: str) -> list[tuple[int, int, int, list[str]]]:
         """(start, end, template, differences) of all licenses in the block whose wording is met, longest first; what is
         left of the block after them is looked through again until nothing more is found."""
@@ -221,7 +294,7 @@ class Scanner:
             if not taken:
                 return sorted(spans, key=lambda x: x[:2])
             for first, end in taken:
-                b.words[first:end] = [TAKEN] * (end - first)
+                b.words[first:end], b.extra[first:end] = [TAKEN] * (end - first), [NEVER] * (end - first)
 
     def judge(self, block: str) -> list[tuple[int, int, str, float, list[str], bool]]:
         """(start, end, license, reduction, differences, confirmed) of all that is found in the block: each confirmed license,

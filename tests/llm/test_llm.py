@@ -313,6 +313,21 @@ def test_license_scan_gives_every_license_of_a_block(spark):
     assert sorted((r["start"], r["license"], r["confirmed"]) for r in got) == [(2, "MIT", True), (34, "Apache-2.0", True)]
 
 
+def test_license_scan_confirms_only_the_named_license():
+    bsd2, gpl3 = license_scan.TEMPLATES["BSD-2-Clause"][1], next(t for t in license_scan.TEMPLATES["GPL-3.0"] if t.startswith("This program"))
+    third = " 3. Neither the name of Acme Inc. nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    numbered = bsd2.replace("met: R", "met: 1. R").replace("disclaimer. R", "disclaimer. 2. R")
+    want = {
+        "Released under the ISC License.": ["ISC"], "Distributed under the MIT License.": ["MIT"], "Released under the Foo License.": [], "Licensed under CC BY-ND 4.0.": ["CC-BY-ND-4.0"],
+        "Licensed under CC BY-NC 3.0.": [], "Licensed under the Apache License, Version 1.1": [], "This work is licensed under the GNU Lesser General Public License, version 3.": ["LGPL-3.0"],
+        "This work is licensed under the GNU Affero General Public License, version 3.": ["AGPL-3.0"], "This work is licensed under the GNU General Public License, version 3.0.": ["GPL-3.0"],
+        gpl3.replace("GNU General", "GNU Lesser General"): ["LGPL-3.0"], gpl3.replace("GNU General", "GNU Foo Affero General"): ["AGPL-3.0"], gpl3.replace("version 3", "version 4"): [],
+        bsd2: ["BSD-2-Clause"], numbered: ["BSD-2-Clause"], numbered + third: ["BSD-3-Clause"], f"{bsd2} 3. Neither the name nor anything else may be used.": [],
+        "SPDX-License-Identifier: MIT": ["MIT"], "SPDX-License-Identifier: MIT-0": [], "This is not released under the MIT License.": [], "Not released under the MIT License.": [],
+    }
+    assert {t: [n for n, _ in licenses(t)] for t in want} == want
+
+
 def test_mixing_meets_targets(docs, labels, odd):
     soft = stored(mixing.posteriors(docs, mixing.fit(docs, labels), ["doc_id"]), "test-soft")
     rate, target, reached = mixing.fit_rates(soft)
