@@ -1,23 +1,24 @@
 """License scan by conditional compression.
 
-A built-in regular expression keeps texts with a trigger word. Inside them a block is a run of lines with
-triggers (gaps of up to three lines closed). Every template's wording is looked for in the whole block, by word
+A built-in regular expression keeps texts with a trigger, a word of the templates or the name of a license. A block is what
+stands within reach of triggers: as many words on both sides as the longest template may take. Every template's wording is looked for in the whole block, by word
 alignment; only a template that lacks too many of its words in the block is left out unaligned. A wording is met
 if at most a fifth as many words differ as the template has, none of which names the license (its name, its version, NC, ND, SA,
 Lesser, Affero, a further clause). Each license whose wording is
-met gives a row of its own, and what is left is looked through again. Blocks that hold triggers outside confirmed
-licenses are compressed with zstandard plain and with each template as raw dictionary, and go, unconfirmed, to the template that
+met gives a row of its own, and what is left is looked through again. Paragraphs that hold triggers outside confirmed
+licenses (as far as the block goes) are compressed with zstandard plain and with each template as raw dictionary, and go, unconfirmed, to the template that
 saves the greatest share of bytes. That share is also given for confirmed licenses.
 
 Defined cases: a null or empty text has no blocks; a block of any length is compared whole with every
-template; repeated rows give the same findings again; other columns are ignored; ties in the saving go to the first
-template by name.
+template; repeated rows give the same findings again; other columns are ignored; ties in the saving go to the
+template with the most of the block's naming words, then to the first by name.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,9 +30,11 @@ from pyspark.sql import functions as F
 
 from .common import texts_of
 
-TRIGGERS = r"(?i)licen[cs]|copyright|spdx|warrant|rights reserved|creative commons|public domain"
-GAP = 3
-
+#: Words of every template's wording and names of licenses; MIT and ISC only in capitals or after "under".
+TRIGGERS = (
+    r"(?i:licen[cs]|licen\u00e7|lizen[zs]|copyright|spdx|warrant|rights[\W_]+(?:\w+[\W_]+){0,3}reserved|creative[\W_]+commons|public[\W_]+domain|unencumbered|redistribution|\bhereby\b"
+    r"|\b[al]?gpl|\bmpl\b|\bcc0|\bcc[\W_]+by|\bapache\b|\bbsd\b|\bgnu\b|\bmozilla\b|under[\W_]+(?:the[\W_]+)?(?:mit|isc)\b)|\b(?:MIT|ISC)\b"
+)
 _BSD = (
     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
     "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
@@ -123,10 +126,13 @@ SCHEMA = "doc_id long, start int, end int, license string, reduction double, n_d
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*", re.UNICODE)
 #: Words as the aligner compares them: parts of a hyphenated name are words of their own.
 _PART = re.compile(r"[^\W_]+(?:\.[^\W_]+)*", re.UNICODE)
+_EMPTY = re.compile(r"(?:\A|\n)[^\S\n]*(?:\n|\Z)")
+_ID = r"[A-Za-z0-9][A-Za-z0-9.+-]*"
+_SPDX = re.compile(rf"(?i:SPDX-License-Identifier):[ \t]*\(*{_ID}(?:[ \t]*\)*[ \t]+(?:OR|AND|WITH)[ \t]+\(*{_ID})*")
 #: Words that tell a license from its relatives, as every word with a digit does: a difference in one is never passed over.
 NAMING = frozenset(
     "mit bsd isc apache gnu gpl lgpl agpl lesser library affero mozilla mpl cc nc nd sa cc0 attribution noncommercial noderivatives noderivs sharealike "
-    "commercial derivatives unlicense unencumbered spdx only later not no neither endorse advertising sublicense sell clause eclipse epl public domain rights".split()
+    "commercial derivatives unlicense unencumbered spdx only later not no neither endorse advertising sublicense sell clause eclipse epl public domain rights reserved hereby redistributions".split()
 )
 #: Words right after a license that make it another one, and words before it that deny it.
 GOES_ON = {"BSD-2-Clause": frozenset(("neither", "endorse", "advertising"))}
@@ -135,19 +141,10 @@ DENIED = frozenset(("not", "never", "no", "nicht", "non"))
 TAKEN, NEVER = "", 1000
 
 
-def blocks(text: str) -> list[tuple[int, int]]:
-    """Character spans of the runs of lines with triggers."""
-    trigger, spans, at, last = re.compile(TRIGGERS), [], 0, -GAP - 2
-    for k, line in enumerate(text.split("\n")):
-        end = at + len(line)
-        if trigger.search(line):
-            if k - last <= GAP + 1:
-                spans[-1] = (spans[-1][0], end)
-            else:
-                spans.append((at, end))
-            last = k
-        at = end + 1
-    return spans
+def paragraph(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span widened to whole lines up to the next empty ones."""
+    before, after = [m.end() for m in _EMPTY.finditer(text, 0, start)], _EMPTY.search(text, end)
+    return before[-1] if before else 0, after.start() if after else len(text)
 
 
 def differences(block: str, template: str) -> tuple[list[str], int, int]:
@@ -247,16 +244,19 @@ class Scanner:
         self.words = [Words(t) for _, t, _ in self.templates]
         self.bags = [Counter(w.words) for w in self.words]
         self.most = [int((1 - share) * len(w) + 1e-9) for w in self.words]
+        self.reach = max((2 * len(w) + m for w, m in zip(self.words, self.most, strict=True)), default=0)
+        self.spdx = {t.split()[1].lower(): k for k, (_, t, _) in enumerate(self.templates) if t.startswith("SPDX-License-Identifier: ")}
 
     def saved(self, block: str, k: int) -> float:
         raw = block.encode()
         return 1 - len(self.templates[k][2].compress(raw)) / len(self.plain.compress(raw))
 
     def ranked(self, block: str) -> list[tuple[float, str, str]]:
-        """(reduction, license, template), most saved first."""
+        """(reduction, license, template), most saved first; of equals the one with the most of the block's naming words."""
         raw = block.encode()
-        base = len(self.plain.compress(raw))
-        return sorted(((1 - len(z.compress(raw)) / base, name, t) for name, t, z in self.templates), key=lambda x: (-x[0], x[1]))
+        base, naming = len(self.plain.compress(raw)), NAMING & set(Words(block).words)
+        by = [(1 - len(z.compress(raw)) / base, -len(naming & self.bags[k].keys()), name, t) for k, (name, t, z) in enumerate(self.templates)]
+        return [(saved, name, t) for saved, _, name, t in sorted(by, key=lambda x: (-x[0], *x[1:3]))]
 
     def _found(self, b: Words) -> list[tuple[int, int, int, int, list[str]]]:
         """(words met, negative; template; first word; end; differences) of every place where a template's wording stands.
@@ -281,10 +281,25 @@ class Scanner:
             return False
         return not DENIED & set(b.raw[max(0, first - 2) : first]) and not GOES_ON.get(self.templates[k][0], DENIED - DENIED) & set(b.raw[end : end + 12])
 
+    def _expressions(self, text: str) -> list[tuple[int, int, int, list[str]]]:
+        """The known licenses of SPDX expressions; the first one's place begins with the tag."""
+        out = []
+        for m in _SPDX.finditer(text):
+            tag, joint = m.start(), ""
+            for x in re.finditer(_ID, m.group()[m.group().index(":") :]):
+                low = m.start() + m.group().index(":") + x.start()
+                if x.group() not in ("OR", "AND", "WITH") and joint != "WITH" and x.group().lower() in self.spdx:
+                    out.append((low if out and out[-1][0] >= tag else tag, low + len(x.group()), self.spdx[x.group().lower()], []))
+                joint = x.group()
+        return out
+
     def confirmed(self, block: str) -> list[tuple[int, int, int, list[str]]]:
         """(start, end, template, differences) of all licenses in the block whose wording is met, longest first; what is
         left of the block after them is looked through again until nothing more is found."""
-        b, spans = Words(block), []
+        b, spans = Words(block), self._expressions(block)
+        for x, y, _, _ in spans:
+            first, end = bisect_left(b.at, (x, 0)), bisect_left(b.at, (y, 0))
+            b.words[first:end], b.extra[first:end] = [TAKEN] * (end - first), [NEVER] * (end - first)
         while True:
             taken = []
             for _, k, first, end, diff in self._found(b):
@@ -296,18 +311,45 @@ class Scanner:
             for first, end in taken:
                 b.words[first:end], b.extra[first:end] = [TAKEN] * (end - first), [NEVER] * (end - first)
 
-    def judge(self, block: str) -> list[tuple[int, int, str, float, list[str], bool]]:
-        """(start, end, license, reduction, differences, confirmed) of all that is found in the block: each confirmed license,
+    def scan(self, text: str) -> list[tuple[int, int, str, float, list[str], bool]]:
+        """(start, end, license, reduction, differences, confirmed) of all that is found in the text: each confirmed license,
         and for triggers outside them the template that saves most, unconfirmed."""
-        sure = self.confirmed(block)
-        out = [(x, y, self.templates[k][0], self.saved(block[x:y], k), diff, True) for x, y, k, diff in sure]
-        edges = [0, *[e for x, y, _, _ in sure for e in (x, y)], len(block)]
-        for lo, hi in zip(edges[::2], edges[1::2], strict=True):
-            for x, y in blocks(block[lo:hi]):
-                rest = block[lo + x : lo + y]
-                saved, name, template = self.ranked(rest)[0]
-                out.append((lo + x, lo + y, name, saved, differences(rest, template)[0], False))
-        return sorted(out, key=lambda x: x[:2])
+        triggers = [m.span() for m in re.finditer(TRIGGERS, text)]
+        if not triggers:
+            return []
+        at = [m.span() for m in _PART.finditer(text)]
+        begins = [x for x, _ in at]
+        word = lambda x: max(0, bisect_right(begins, x) - 1)
+        near = [(at[max(0, word(x) - self.reach)][0], at[min(len(at) - 1, word(y - 1) + self.reach)][1]) for x, y in triggers]
+        out: list[tuple] = []
+        for low, high in _joined(near):
+            out += [(low + x, low + y, self.templates[k][0], self.saved(text[low + x : low + y], k), diff, True) for x, y, k, diff in self.confirmed(text[low:high])]
+        sure = sorted(r[:2] for r in out)
+        ends = [y for _, y in sure]
+        rest = []
+        for (x, y), (low, high) in zip(triggers, near, strict=True):
+            k = bisect_right(ends, x)
+            if k < len(sure) and sure[k][0] < y:
+                continue
+            p, q = paragraph(text, x, y)
+            gap = (ends[k - 1] if k else 0, sure[k][0] if k < len(sure) else len(text))
+            rest.append((max(p, low, gap[0]), min(q, high, gap[1])))
+        for x, y in _joined(rest):
+            x, y = x + len(text[x:y]) - len(text[x:y].lstrip(" \t\n.,;:-*/#")), x + len(text[x:y].rstrip())
+            saved, name, template = self.ranked(text[x:y])[0]
+            out.append((x, y, name, saved, differences(text[x:y], template)[0], False))
+        return sorted(out, key=lambda r: r[:2])
+
+
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans joined where they overlap."""
+    out: list[tuple[int, int]] = []
+    for x, y in sorted(spans):
+        if out and x < out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], y))
+        else:
+            out.append((x, y))
+    return out
 
 
 def license_scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, share: float = 0.8) -> DataFrame:
@@ -319,9 +361,8 @@ def license_scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLA
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text")), strict=True):
-                for start, end in blocks(text):
-                    for x, y, name, saved, diff, sure in scanner.judge(text[start:end]):
-                        rows.append((doc, start + x, start + y, name, round(saved, 6), len(diff), " ".join(diff), sure))
+                for start, end, name, saved, diff, sure in scanner.scan(text):
+                    rows.append((doc, start, end, name, round(saved, 6), len(diff), " ".join(diff), sure))
             types = (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.string(), pa.bool_())
             names = [c.split()[0] for c in SCHEMA.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)

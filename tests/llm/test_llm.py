@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -301,7 +302,7 @@ def test_license_wording_differences():
 
 def licenses(text):
     scanner = license_scan.Scanner(license_scan.TEMPLATES)
-    return [(r[2], text[x:y][r[0] : r[1]]) for x, y in license_scan.blocks(text) for r in scanner.judge(text[x:y]) if r[5]]
+    return [(r[2], text[r[0] : r[1]]) for r in scanner.scan(text) if r[5]]
 
 
 def test_license_scan_gives_every_license_of_a_block(spark):
@@ -328,6 +329,20 @@ def test_license_scan_confirms_only_the_named_license():
     assert {t: [n for n, _ in licenses(t)] for t in want} == want
 
 
+def test_license_scan_compares_the_text_around_triggers(spark):
+    mit, bsd = license_scan.TEMPLATES["MIT"][1], license_scan.TEMPLATES["BSD-2-Clause"][1]
+    wrapped = ["\n".join(textwrap.wrap(t, 72)) for t in (mit, bsd)]
+    texts = [f"antes\n\n{t}\n\n{LOREM}" for t in wrapped] + [f"{LOREM} {mit} {LOREM}"]
+    assert [[n for n, _ in licenses(t)] for t in texts] == [["MIT"], ["BSD-2-Clause"], ["MIT"]]
+    assert [n for n, _ in licenses("SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC")] == ["MIT", "Apache-2.0", "ISC"]
+    names = ["Released under GPL v3", "CC BY-NC 4.0", "CC0", "Lizenz", "Released under MIT"]
+    got = license_scan.license_scan(spark.createDataFrame(list(enumerate([*names, "Mit dem Hund"])), "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["start"], r["end"]) for r in got} == {(k, 0, len(n)) for k, n in enumerate(names)}
+    assert {r["license"] for r in got if r["doc_id"] < 3} == {"GPL-3.0", "CC-BY-NC-4.0", "CC0-1.0"}
+    for name, listed in license_scan.TEMPLATES.items():  # a wording without a naming word that is a trigger could lie out of reach
+        assert all(re.search(license_scan.TRIGGERS, t) and license_scan.NEVER in license_scan.Words(t).extra for t in listed), name
+
+
 def test_mixing_meets_targets(docs, labels, odd):
     soft = stored(mixing.posteriors(docs, mixing.fit(docs, labels), ["doc_id"]), "test-soft")
     rate, target, reached = mixing.fit_rates(soft)
