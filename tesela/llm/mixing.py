@@ -8,8 +8,10 @@ number per domain; a document's rate follows from its posteriors and the gradien
 is kept.
 
 A document is written floor(r) times, and once more with the chance of the rest, drawn by a hash of doc_id. The
-targets keep the tokens of the domain of the greatest weight and ask for the others in proportion, for no
-more than there is of them.
+targets are the weights times one total, at which the domain of the greatest weight keeps its tokens (without
+any of it, the tokens of all). A domain with less than its share is raised by rates above 1. One without mass (no word in
+a document for which it is the likeliest) cannot be raised, as traces in the documents of other domains would have to
+crowd those out: its target stays, and the tokens that are reached say so beside it.
 
 Defined cases: a null or empty text has no tokens, the prior as posterior and a rate like any other; without
 labels every posterior is uniform; null labels are none; of several labels of a document the largest count;
@@ -18,6 +20,7 @@ repeated rows have one rate; an empty table gives an empty result; further colum
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from .common import bytes_of, sliced, small_batches, stored
 from .shingles import word_hashes
 
+LOG = logging.getLogger(__name__)
 DOMAINS = ("clean", "low", "toxic")
 #: Target weights of the domains in the mixture's tokens.
 WEIGHTS = {"clean": 0.90, "low": 0.04, "toxic": 0.06}
@@ -126,20 +130,26 @@ def fit_rates(soft: DataFrame, weights: dict[str, float] = WEIGHTS, rounds: int
     d = len(DOMAINS)
     tokens = lambda rate: [F.sum(F.col("__n") * F.col("__p")[i] * rate).alias(f"t{i}") for i in range(d)]
     moments = [F.sum(F.col("__n") * F.col("__p")[i] * F.col("__p")[j]).alias(f"m{i}{j}") for i in range(d) for j in range(d)]
-    first = [x or 0.0 for x in soft.agg(*tokens(F.lit(1.0)), *moments).first()]
-    have, curve = np.array(first[:d]), np.array(first[d:]).reshape(d, d)
-    scale = np.linalg.pinv(curve, rcond=1e-9, hermitian=True)
+    own = [F.sum(F.when(F.col("__p")[i] >= F.array_max("__p"), F.col("__n")).otherwise(0)).alias(f"o{i}") for i in range(d)]
+    first = [x or 0.0 for x in soft.agg(*tokens(F.lit(1.0)), *own, *moments).first()]
+    have, mass, curve = np.array(first[:d]), np.array(first[d : 2 * d]) > 0, np.array(first[2 * d :]).reshape(d, d)
     share = np.array([weights[k] for k in DOMAINS]) / sum(weights.values())
     anchor = int(np.argmax(share))
-    target = np.minimum(share * have[anchor] / share[anchor], have)
+    target = share * (have[anchor] / share[anchor] if mass[anchor] else have.sum())
+    scale = np.zeros((d, d))
+    scale[np.ix_(mass, mass)] = np.linalg.pinv(curve[np.ix_(mass, mass)], rcond=1e-9, hermitian=True)
     steps: list[list[float]] = []
     reached = have
     for _ in range(rounds):
-        gap = reached - target
+        gap = np.where(mass, reached - target, 0)
         if np.abs(gap).max() <= 1e-3 * max(1.0, target.sum()):
             break
         steps.append((scale @ gap).tolist())
-        reached = np.array([x or 0.0 for x in soft.agg(*tokens(_rate(steps))).first()])
+        before, reached = reached, np.array([x or 0.0 for x in soft.agg(*tokens(_rate(steps))).first()])
+        if np.abs(reached - before).max() <= 1e-7 * max(1.0, target.sum()):  # the least squares have their minimum short of the target
+            break
+    if np.abs(reached - target).max() > 2e-3 * max(1.0, target.sum()):
+        LOG.warning("the mixture misses its targets: %s", ", ".join(f"{k} {r:.0f} of {t:.0f} tokens" for k, r, t in zip(DOMAINS, reached, target, strict=True)))
     return _rate(steps), target, reached
 
 
@@ -150,13 +160,16 @@ def copies_of(rate: Column, id_col: str) -> Column:
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:
-    """doc_id, n_tokens, p_clean, p_low, p_toxic, rate, copies for every row of docs (doc_id, text)."""
+    """doc_id, n_tokens, p_clean, p_low, p_toxic, rate, copies for every row of docs (doc_id, text), and on each row the
+    tokens of each domain that the mixture should have (target_clean, ...) and those that the rates reach (reached_clean, ...)."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = fit(docs, labels)
     with small_batches(docs.sparkSession, 2000):
         soft = stored(posteriors(ids, model, ["doc_id"]), "op4-soft")
-    rated = soft.withColumn("rate", fit_rates(soft, weights)[0])
-    return rated.select("doc_id", F.col("__n").alias("n_tokens"), *[F.col("__p")[i].alias(f"p_{k}") for i, k in enumerate(DOMAINS)], "rate", copies_of(F.col("rate"), "doc_id").alias("copies"))
+    rate, target, reached = fit_rates(soft, weights)
+    rated = soft.withColumn("rate", rate)
+    totals = [F.lit(float(x[i])).alias(f"{name}_{k}") for name, x in (("target", target), ("reached", reached)) for i, k in enumerate(DOMAINS)]
+    return rated.select("doc_id", F.col("__n").alias("n_tokens"), *[F.col("__p")[i].alias(f"p_{k}") for i, k in enumerate(DOMAINS)], "rate", copies_of(F.col("rate"), "doc_id").alias("copies"), *totals)
 
 
 def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:

@@ -358,6 +358,23 @@ def test_mixing_meets_targets(docs, labels, odd):
     assert mixing.mixed(odd, labels.limit(0)).columns == odd.columns
 
 
+def test_mixing_raises_scarce_domains_to_their_weights(spark, docs, labels):
+    weights = np.array([mixing.WEIGHTS[k] for k in mixing.DOMAINS])
+    soft = lambda rows: spark.createDataFrame([(100, [float(x) for x in p]) for p in rows], "__n long, __p array<double>")
+    rate, target, reached = mixing.fit_rates(soft([(1, 0, 0)] * 90 + [(0, 1, 0)] * 9 + [(0, 0, 1)]))
+    assert np.allclose(target, weights * 10_000) and np.allclose(reached, target, atol=20)
+    assert max(r["r"] for r in soft([(0, 0, 1)]).select(rate.alias("r")).collect()) == pytest.approx(6, abs=0.2)
+    _, target, reached = mixing.fit_rates(soft([(1, 0, 0)] * 90 + [(0, 0, 1)]))  # nothing is low: its target stays and is missed
+    assert np.allclose(target, weights * 10_000) and np.allclose(reached, target * [1, 0, 1], atol=20)
+    _, target, reached = mixing.fit_rates(soft([(0, 1, 0)] * 9 + [(0, 0, 1)]))
+    assert np.allclose(target, weights * 1000) and np.allclose(reached, target * [0, 1, 1], atol=20)
+    traces = soft([(0.999, 0.001, 0), (0.99999, 0.00001, 0)] * 450 + [(0, 0, 1)] * 9)  # traces of low in clean documents crowd nothing out
+    rate, _, reached = mixing.fit_rates(traces)
+    assert [round(r["r"], 1) for r in traces.where("__p[0] > 0").select(rate.alias("r")).distinct().collect()] in ([1.0], [1.0, 1.0])
+    row = mixing.mix(docs, labels).first()
+    assert np.allclose([row[f"reached_{k}"] for k in mixing.DOMAINS], [row[f"target_{k}"] for k in mixing.DOMAINS], atol=100)
+
+
 # ------------------------------------------------------------------------------------------- warc
 
 
