@@ -2,16 +2,20 @@
 
 Each stage takes the documents that the one before kept, as a DataFrame read from Parquet; all but the last return the
 columns of documents. The last returns doc_id, lang, source, n_tokens, ids and round_trip (whether the decoded ids
-give the text again).
+give the text again). What a stage writes to the shared folder for itself goes when its result is written.
+
+Defined cases: documents of null, empty or short text go in the first stage; a document of any length is judged, compared and encoded
+whole; of equal texts the largest doc_id stays, rows without an id after all others; of near duplicates the smallest; rows
+without an id and with texts of their own stay; rows that share an id are judged each by its own text; further columns, whatever
+their names, pass through all stages but the last; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tesela.llm import bpe, exact_dedup, mixing, near_dedup, quality_rules
-from tesela.llm.common import stored, table
+from tesela.llm.common import clear_scratch, drop, kept_at, scratch_mark, table
 from tesela.llm.queries import split_pattern, tokenizer
 
 
@@ -32,11 +36,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path, pattern = tokenizer("byte_bpe_50k.tiktoken"), split_pattern()
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text")), path, pattern)
-    back = bpe.decode(coded, path, pattern)
-    same = F.col("decoded") == F.col("text").cast("binary")
-    return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+    return bpe.encoded_and_checked(docs, tokenizer("byte_bpe_50k.tiktoken"), split_pattern(), ["doc_id", "lang", "source"])
 
 
 STAGES = [
@@ -53,7 +53,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents, each result written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{k}")
+    docs, before = table(spark, sf_dir, "documents"), None
+    for k, (_, stage) in enumerate(STAGES):
+        mark = scratch_mark()
+        docs, path = kept_at(stage(spark, docs, sf_dir), f"pipeline-{k}")
+        clear_scratch(spark, mark, {path})
+        if before:
+            drop(spark, before)
+        before = path
     return docs

@@ -2,12 +2,17 @@
 
 A whole text is cut where no token can cross: between a character that is not white space and white space
 after it, and between a letter or digit and a comma or full stop. The library encodes each distinct piece once;
-a table of bounded size, by 64-bit hashes of pieces, keeps their ids for later batches and tasks of the worker.
+a table of bounded size keeps pieces and their ids for later batches and tasks of the worker. Pieces are found by a fast hash
+and then compared byte by byte, so pieces that share a hash keep ids of their own.
 New pieces go to the library many in one text where the same rule cuts between them, and the tokens' bytes tell whose
 ids are whose. The ids are those of the whole text, which tests compare.
 
-Defined cases: a null text counts as empty and has no tokens; a text of any length is one row; repeated
-rows are encoded alike; other columns pass through where a function says so.
+Decoding reverses the byte table. A character that is split over tokens belongs to each of them in the offsets, and to the
+last one in decode_pieces().
+
+Defined cases: a null text counts as empty and has no tokens; a text of any length is one row, worked through in windows; repeated
+rows are encoded alike; an empty table gives an empty result; other columns pass through where a function says so, and
+those with the name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -22,12 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, process_cache, sliced, texts_of
-from .shingles import BACK, STEP, mix, power
+from .common import bytes_of, process_cache, sliced
+from .shingles import WINDOW, distinct_spans, equal_spans
 
-#: Pieces that a worker remembers (about 40 bytes each), and new ones that the library gets in one text.
+#: Pieces that a worker remembers (about 50 bytes each), bytes of them and ids, and new pieces that the library gets in one text.
 PIECES, JOINED = 700_000, 128
-_CASED = mix(np.arange(301, 557, dtype=np.uint64) * np.uint64(STEP)) | np.uint64(1)
 _WHITE, _WORD = np.zeros(256, bool), np.zeros(256, bool)
 _WHITE[[9, 10, 13, 32]] = True
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
@@ -37,9 +41,9 @@ _ODD2 = np.array([0xC285, 0xC2A0])
 _ODD3 = np.array([0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
 
 
-def _piece_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where pieces begin: at texts, at a blank, tab or line end after a character that is no white space of any kind,
-    and at a comma or full stop after an ASCII letter or digit."""
+def _cuts(raw: np.ndarray) -> np.ndarray:
+    """Whether a piece of a text begins at each byte: at a blank, tab or line end after a character that is no white space of
+    any kind, and at a comma or full stop after an ASCII letter or digit. Four bytes before suffice to tell."""
     white = _WHITE[raw]
     cut = np.zeros(len(raw), bool)
     cut[1:] = white[1:] & ~white[:-1]
@@ -54,9 +58,23 @@ def _piece_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         three = raw[np.maximum(i - 3, 0)].astype(np.int64) << 16 | two
         odd[far] = np.isin(two, _ODD2) | np.isin(three, _ODD3)
     cut[at[odd]] = False
+    return cut
+
+
+def _piece_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces of all rows begin."""
     heads = offsets[:-1][np.diff(offsets) > 0]
-    cut[heads] = True
-    return np.flatnonzero(cut)
+    found = [heads]
+    for lo in range(0, len(raw), WINDOW):
+        low = max(0, lo - 4)
+        cut = _cuts(raw[low : lo + WINDOW])
+        cut[: lo - low] = False
+        found.append(np.flatnonzero(cut) + low)
+    if len(found) == 2:
+        cut = np.zeros(len(raw), bool)
+        cut[found[1]] = cut[heads] = True
+        return np.flatnonzero(cut)
+    return np.unique(np.concatenate(found))
 
 
 def byte_chars() -> list[str]:
@@ -95,11 +113,14 @@ def from_ranks(data: bytes, pattern: str):
 
 
 def from_json(data: bytes):
-    """A tokenizer of the library from its own file, and its byte table."""
+    """A tokenizer of the library from its own file, as the library sets it up, and its byte table. The strings of added
+    tokens are those tokens; none of them has a place where pieces are cut."""
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_str(data.decode())
-    tok.encode_special_tokens = True
+    for t in tok.get_added_tokens_decoder().values():
+        if t.lstrip or t.rstrip or t.single_word or _cuts(np.frombuffer(b"x" + t.content.encode() + b"x", np.uint8)).any():
+            raise ValueError(f"texts cannot be cut around the added token {t.content!r}")
     back = {c: b for b, c in enumerate(byte_chars())}
     vocab = tok.get_vocab(with_added_tokens=True)
     table: list[bytes] = [b""] * (max(vocab.values()) + 1)
@@ -109,7 +130,7 @@ def from_json(data: bytes):
 
 
 class _Pieces:
-    """The ids of pieces by their 64-bit hashes, in flat arrays; it starts anew beyond its bounds."""
+    """The ids of pieces, in flat arrays; found by hash and compared byte by byte. It starts anew beyond its bounds."""
 
     def __init__(self):
         self.clear()
@@ -117,23 +138,36 @@ class _Pieces:
     def clear(self) -> None:
         self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.starts, self.counts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.at, self.sizes, self.data = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+
+    def full(self, more: int) -> bool:
+        return len(self.keys) + more > PIECES or len(self.flat) > 8 * PIECES or len(self.data) > 24 * PIECES
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The row of each key, -1 if unknown."""
+    def find(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The row of each span of raw, -1 if it is unknown."""
         if not len(self.keys):
             return np.full(len(keys), -1)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.rows[at], -1)
-
-    def add(self, keys: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> None:
-        """flat: the ids of all keys' pieces, counts of them each."""
-        self.rows = np.concatenate([self.rows, len(self.starts) + np.arange(len(keys))])
+        rows = np.where(self.keys[at] == keys, self.rows[at], -1)
+        hit = np.flatnonzero(rows >= 0)
+        same = equal_spans(raw, starts[hit], sizes[hit], self.data, self.at[rows[hit]], self.sizes[rows[hit]])
+        rows[hit[~same]] = -1
+        return rows
+
+    def add(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The rows of new spans of raw; flat: the ids of all of them, counts of them each. A key that is there already keeps
+        its first piece, and the new one is found by its row only."""
+        rows = len(self.starts) + np.arange(len(keys))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
         self.flat = np.concatenate([self.flat, flat])
-        self.keys = np.concatenate([self.keys, keys])
-        order = np.argsort(self.keys, kind="stable")
-        self.keys, self.rows = self.keys[order], self.rows[order]
+        ends = np.cumsum(sizes)
+        held = raw[np.arange(ends[-1] if len(ends) else 0, dtype=np.int64) + np.repeat(starts - ends + sizes, sizes)]
+        self.at = np.concatenate([self.at, len(self.data) + ends - sizes])
+        self.sizes, self.data = np.concatenate([self.sizes, sizes]), np.concatenate([self.data, held])
+        every, first = np.unique(np.concatenate([self.keys, keys]), return_index=True)
+        self.keys, self.rows = every, np.concatenate([self.rows, rows])[first]
+        return rows
 
 
 class Codec:
@@ -145,6 +179,7 @@ class Codec:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok, self.table = from_ranks(data, pattern) if pattern else from_json(data)
         self.sizes = np.array([len(t) for t in self.table], np.int64)
+        self.flat, self.table_at = np.frombuffer(b"".join(self.table), np.uint8), np.cumsum(self.sizes) - self.sizes
         self.pieces = _Pieces()
 
     @classmethod
@@ -177,6 +212,25 @@ class Codec:
         counts = np.concatenate([np.diff(cut, prepend=-1), np.array([len(x) for x in alone], np.int64)])
         return order, np.concatenate([flat, *alone]), counts
 
+    def _encode_window(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces raw[starts:ends] in one array, and how many each has."""
+        keys, first, back = distinct_spans(raw, starts, ends)
+        at, sizes = starts[first], (ends - starts)[first]
+        rows = self.pieces.find(keys, raw, at, sizes)
+        new = np.flatnonzero(rows < 0)
+        if len(new) and self.pieces.full(len(new)):
+            self.pieces.clear()
+            new = np.arange(len(keys))
+        if len(new):
+            order, flat, counts = self._encode_new(raw, at[new], at[new] + sizes[new])
+            new = new[order]
+            rows[new] = self.pieces.add(keys[new], raw, at[new], sizes[new], flat, counts)
+        row = rows[back]
+        counts = self.pieces.counts[row]
+        ends = np.cumsum(counts)
+        inside = np.arange(ends[-1]) + np.repeat(self.pieces.starts[row] - ends + counts, counts)
+        return self.pieces.flat[inside], counts
+
     def encode_bytes(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows' texts in one uint32 array, and where each row's begin (one more at the end)."""
         n = len(raw)
@@ -184,24 +238,17 @@ class Codec:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         starts = _piece_starts(raw, offsets)
         ends = np.append(starts[1:], n)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_CASED[raw] * power(STEP, n), out=sums[1:])
-        keys, first, back = np.unique(mix((sums[ends] - sums[starts]) * power(BACK, n)[starts] + (ends - starts).astype(np.uint64)), return_index=True, return_inverse=True)
-        rows = self.pieces.find(keys)
-        new = np.flatnonzero(rows < 0)
-        if len(new):
-            if len(self.pieces.keys) + len(new) > PIECES or len(self.pieces.flat) > 8 * PIECES:
-                self.pieces.clear()
-                new = np.arange(len(keys))
-            order, flat, counts = self._encode_new(raw, starts[first[new]], ends[first[new]])
-            self.pieces.add(keys[new[order]], flat, counts)
-            rows = self.pieces.find(keys)
-        row = rows[back]
-        counts = self.pieces.counts[row]
-        before = np.zeros(len(row) + 1, np.int64)
-        np.cumsum(counts, out=before[1:])
-        at = np.repeat(self.pieces.starts[row] - before[:-1], counts) + np.arange(before[-1])
-        return self.pieces.flat[at], before[np.searchsorted(starts, offsets)]
+        found, counted, at = [], [], 0
+        while at < len(starts):
+            to = max(at + 1, int(np.searchsorted(ends, starts[at] + WINDOW, "right")))
+            low, high = starts[at], ends[to - 1]
+            ids, counts = self._encode_window(raw[low:high], starts[at:to] - low, ends[at:to] - low)
+            found.append(ids)
+            counted.append(counts)
+            at = to
+        before = np.zeros(len(starts) + 1, np.int64)
+        np.cumsum(np.concatenate(counted), out=before[1:])
+        return found[0] if len(found) == 1 else np.concatenate(found), before[np.searchsorted(starts, offsets)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each whole text, as little-endian unsigned 32-bit integers."""
@@ -223,12 +270,30 @@ class Codec:
             out[-1] += step.decode(b"", True)
         return out
 
-    def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each token the characters of text that it touches, as [start, end)."""
-        raw = np.frombuffer(text.encode(), np.uint8)
-        char = np.cumsum((raw & 0xC0) != 0x80) - 1
+    def decode_bytes(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all rows' ids in one array by the reversed byte table, and where each row's begin."""
+        ends = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(self.sizes[ids], out=ends[1:])
+        out = np.empty(ends[-1], np.uint8)
+        for lo in range(0, len(ids), WINDOW >> 3):
+            part = ids[lo : lo + (WINDOW >> 3)]
+            low, high = ends[lo], ends[lo + len(part)]
+            out[low:high] = self.flat[np.arange(high - low) + np.repeat(self.table_at[part] - ends[lo : lo + len(part)] + low, self.sizes[part])]
+        return out, ends[at]
+
+    def offsets(self, raw: np.ndarray, rows: np.ndarray, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each token of all rows the characters of its row's text that it touches, as [start, end), and whether it ends
+        inside a character. raw, rows: the texts' bytes and where they begin; ids, at: theirs."""
+        chars = np.zeros(len(raw) + 1, np.int32)
+        np.cumsum((raw & 0xC0) != 0x80, out=chars[1:])
         ends = np.cumsum(self.sizes[ids])
-        return (char[ends - self.sizes[ids]], char[ends - 1] + 1) if len(ids) else (ends, ends)
+        begins = ends - self.sizes[ids]
+        base = np.repeat(chars[rows[:-1]], np.diff(at))
+        start, end = chars[begins + 1] - 1 - base, chars[ends] - base
+        split = np.zeros(len(ids), bool)
+        inner = np.flatnonzero(ends < np.repeat(rows[1:], np.diff(at)))
+        split[inner] = (raw[ends[inner]] & 0xC0) == 0x80
+        return start, end, split
 
 
 def lists(ids: np.ndarray, at: np.ndarray) -> pa.Array:
@@ -261,18 +326,19 @@ def encode(docs: DataFrame, path: str, pattern: str | None = None, text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(data.value, pattern)
         for batch in sliced(batches, text_col):
-            ids, at = codec.encode_bytes(*bytes_of(batch.column(text_col)))
+            raw, rows = bytes_of(batch.column(text_col))
+            ids, at = codec.encode_bytes(raw, rows)
             out = [batch.column(c) for c in kept] + [lists(ids, at)]
             if offsets:
-                spans = [codec.offsets(t, ids[a:z]) for t, a, z in zip(texts_of(batch.column(text_col)), at[:-1], at[1:], strict=True)]
-                out += [lists(np.concatenate([s[k] for s in spans]).astype(np.int32), at) for k in (0, 1)]
+                start, end, _ = codec.offsets(raw, rows, ids, at)
+                out += [lists(start, at), lists(end, at)]
             yield pa.RecordBatch.from_arrays(out, [*kept, *extra])
 
     return docs.select(kept).mapInArrow(run, schema)
 
 
 def decode(tokens: DataFrame, path: str, pattern: str | None = None, ids_col: str = "ids") -> DataFrame:
-    """tokens with decoded (binary) in place of nothing: the bytes of its ids by the reversed byte table."""
+    """tokens with decoded (binary): the bytes of its ids by the reversed byte table; a column of that name is replaced."""
     data = tokens.sparkSession.sparkContext.broadcast(read_file(path))
     kept = [c for c in tokens.columns if c != "decoded"]
     schema = tokens.select(kept).withColumn("decoded", F.lit(b"")).schema
@@ -280,27 +346,55 @@ def decode(tokens: DataFrame, path: str, pattern: str | None = None, ids_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(data.value, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
                 raw = [codec.decode(r.tolist()) for r in rows_of(part.column(ids_col))]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(raw, pa.binary())], [*kept, "decoded"])
 
     return tokens.select(kept).mapInArrow(run, schema)
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of rows doc_id, ids, decoded."""
+def round_trip(docs: DataFrame, path: str, pattern: str | None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text, whose ids are decoded again; offsets_sha256 of its tokens'
+    [start, end) characters as little-endian 32-bit integers; and n_split, the tokens that end inside a character."""
+    data = docs.sparkSession.sparkContext.broadcast(read_file(path))
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "offsets_sha256", "n_split"]
+    sha = lambda x: hashlib.sha256(x).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = rows_of(batch.column("ids"))
-            sha = [hashlib.sha256(r.astype("<u4").tobytes()).hexdigest() for r in ids]
-            back = [hashlib.sha256(x).hexdigest() for x in batch.column("decoded").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(r) for r in ids], pa.int64()), pa.array(sha), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.select("doc_id", "ids", "decoded").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
-
+        codec = Codec.of(data.value, pattern)
+        for batch in sliced(batches, "text"):
+            raw, rows = bytes_of(batch.column("text"))
+            ids, at = codec.encode_bytes(raw, rows)
+            back, places = codec.decode_bytes(ids, at)
+            start, end, split = codec.offsets(raw, rows, ids, at)
+            spans, sent = np.stack([start, end], 1).astype("<i4"), ids.astype("<u4", copy=False)
+            splits = np.concatenate([[0], np.cumsum(split)])
+            cut = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
+            out = [
+                batch.column("doc_id"), pa.array(np.diff(at)), pa.array([sha(sent[a:z]) for a, z in cut], pa.string()),
+                pa.array([sha(back[a:z]) for a, z in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)], pa.string()),
+                pa.array([sha(spans[a:z]) for a, z in cut], pa.string()), pa.array(splits[at[1:]] - splits[at[:-1]]),
+            ]
+            yield pa.RecordBatch.from_arrays(out, names)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, offsets_sha256 string, n_split long")
+
+
+def encoded_and_checked(docs: DataFrame, path: str, pattern: str | None, keep: list[str]) -> DataFrame:
+    """The columns keep of docs with n_tokens, ids, and round_trip: whether the decoded ids give the text again."""
+    data = docs.sparkSession.sparkContext.broadcast(read_file(path))
+    schema = docs.select(keep).withColumns({"n_tokens": F.lit(0).cast("long"), "ids": F.array().cast("array<int>"), "round_trip": F.lit(True)}).schema
 
-def round_trip(docs: DataFrame, path: str, pattern: str | None) -> DataFrame:
-    """Encodes every text, decodes the ids and gives the digests of both."""
-    return digests(decode(encode(docs.select("doc_id", "text"), path, pattern).select("doc_id", "ids"), path, pattern))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec.of(data.value, pattern)
+        for batch in sliced(batches, "__text"):
+            raw, rows = bytes_of(batch.column("__text"))
+            ids, at = codec.encode_bytes(raw, rows)
+            back, places = codec.decode_bytes(ids, at)
+            whole = np.array_equal(back, raw) and np.array_equal(places, rows)
+            same = [True] * batch.num_rows if whole else [np.array_equal(back[p:q], raw[a:z]) for p, q, a, z in zip(places[:-1], places[1:], rows[:-1], rows[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(np.diff(at)), lists(ids, at), pa.array(same)], [*keep, "n_tokens", "ids", "round_trip"])
+
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)

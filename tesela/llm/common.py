@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Functions of this subpackage travel to the executors by value, so those need not have it installed.
@@ -47,15 +47,33 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+#: Scratch paths of this driver, in the order in which they were made.
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; it is deleted when the application ends."""
+    """A new path in the shared folder; it is deleted when the application ends, if not before."""
     path = f"{shared_dir(spark)}/tesela/{name}-{uuid.uuid4().hex}"
     fs, jpath = _fs(spark, path)
     fs.mkdirs(jpath)
     fs.deleteOnExit(jpath)
+    _made.append(path + "/data")
     return path + "/data"
 
 
+def scratch_mark() -> int:
+    """A place in the order of scratch paths, for clear_scratch()."""
+    return len(_made)
+
+
+def clear_scratch(spark: SparkSession, mark: int, keep: set[str]) -> None:
+    """Deletes the scratch tables made since mark but those at the paths keep, which later steps read."""
+    for path in _made[mark:]:
+        if path not in keep:
+            drop(spark, path)
+    _made[mark:] = [p for p in _made[mark:] if p in keep]
+
+
 def drop(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path.removesuffix("/data"))
     fs.delete(jpath, True)
@@ -85,7 +103,7 @@ def words(text: Column) -> Column:
     return F.when(F.coalesce(F.length(bare) == 0, F.lit(True)), F.array().cast("array<string>")).otherwise(F.split(bare, r"[ \t-\r]+", -1))
 
 
-# ------------------------------------------------------------------ bitmaps of keys, of fixed size
+# ------------------------------------------------------------------------------- bitmaps of keys
 
 
 def slot(keys: list[Column], bits: int) -> Column:
@@ -109,13 +127,43 @@ def marked(bits_of: Column, at: Column) -> Column:
     return F.call_function("shiftright", word, F.pmod(at, F.lit(64).cast("long")).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
 
 
-def suspects(df: DataFrame, id_col: str, ids: DataFrame, bits: int = 1 << 22) -> tuple[DataFrame, DataFrame]:
-    """The rows of df whose id may be among ids (its single column), and the others. Only the first need a join, so only they
-    are shuffled for one."""
+def bits_for(keys: int) -> int:
+    """The size of a bitmap in which so many keys mark about a sixteenth of the slots: 2**16 to 2**26 bits (8 MB). Beyond some
+    four million keys it is more crowded, lets more rows through to the join, and results stay the same."""
+    return 1 << min(26, max(16, (16 * keys).bit_length()))
+
+
+def suspects(df: DataFrame, id_col: str, ids: DataFrame, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of df whose id may be among ids (its single column, a table that is cheap to count), and the others. Only the
+    first need a join, so only they are shuffled for one."""
+    bits = bits or bits_for(ids.count())
     maybe = marked(bitmap(ids.select(slot([F.col(ids.columns[0])], bits).alias("slot")), bits), slot([F.col(id_col)], bits))
     return df.where(maybe), df.where(~maybe)
 
 
+# -------------------------------------------------------------------- bounded samples of labelled rows
+
+
+def drawn(known: DataFrame, by: str, sample: int, seed: int) -> tuple[DataFrame, dict]:
+    """doc_id and by of at most `sample` distinct documents for each value of `by`, those with the least hashes of their ids, and the
+    rows that known (doc_id, by) has of each value. However often rows repeat, documents are drawn as long as there are
+    any, and what is counted, ranked or collected stays a small multiple of the sample."""
+    sizes = {r[by]: r["n"] for r in known.groupBy(by).agg(F.count("*").alias("n")).collect()}
+    scale = 1 << 40
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(scale).cast("long"))
+    share = {k: min(scale, 2 * sample * scale // n + 1) for k, n in sizes.items()}
+    while sizes:
+        below = F.create_map(*[F.lit(x) for k in sorted(share) for x in (k, share[k])])
+        found = stored(known.select("doc_id", by, draw.alias("__h")).where(F.col("__h") < F.element_at(below, F.col(by))).distinct(), "drawn")
+        got = {r[by]: r["n"] for r in found.groupBy(by).agg(F.count("*").alias("n")).collect()}
+        short = [k for k in sizes if got.get(k, 0) < sample and share[k] < scale]
+        if not short:
+            rank = F.row_number().over(Window.partitionBy(by).orderBy("__h", "doc_id"))
+            return found.withColumn("__r", rank).where(F.col("__r") <= sample).select("doc_id", by), sizes
+        share |= {k: min(scale, 16 * share[k]) for k in short}
+    return known.select("doc_id", by).limit(0), sizes
+
+
 # ------------------------------------------------------------------------------- Arrow batches
 
 

@@ -1,7 +1,7 @@
 """Exact dedup by progressive refinement: length, then prefix hash, then full hash.
 
 Each level counts its keys in a distributed aggregation and keeps one bit for every key that may
-occur twice. The bits (of fixed size, whatever the input) decide inside the next scan which rows go
+occur twice. The bits (2**16 to 2**26 of them, by the number of rows) decide inside the next scan which rows go
 on, so texts are never shuffled: after the last level only ids and digests of rows that may have a
 copy move. Only DataFrame functions are used.
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, lower_ascii, marked, slot, stored, suspects
+from .common import bitmap, bits_for, lower_ascii, marked, slot, stored, suspects
 
 
 def _repeated(keys: DataFrame, bits: int):
@@ -23,14 +23,15 @@ def _repeated(keys: DataFrame, bits: int):
     return bitmap(keys.groupBy("slot").count().where("count > 1").select("slot"), bits)
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 64, bitmap_bits: int = 1 << 22, digest: bool = False) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 64, bitmap_bits: int | None = None, digest: bool = False) -> DataFrame:
     """One row per row of docs: doc_id, keep_id (largest id of the equal texts), group_size, kept,
     text_sha256. Texts are equal when identical after lower-casing A-Z. text_sha256 is null for texts
     that the lengths or prefixes show to be unique, unless digest is set.
 
-    bitmap_bits: size of a level's bitmap; on a corpus with far more texts it passes more rows on to
-    the full hash and the result stays the same.
+    bitmap_bits: size of a level's bitmap, by the number of rows if it is not given; on a corpus with far more texts it
+    passes more rows on to the full hash and the result stays the same.
     """
+    bitmap_bits = bitmap_bits or bits_for(docs.count())
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     length = F.octet_length("text")
     prefix = F.xxhash64(lower_ascii(F.substring("text", 1, prefix_chars)))

@@ -6,8 +6,9 @@ its labelled rows. A text gets the language of the centroid with the largest cos
 that centroid's own training texts, it is marked rejected, and the language stays as the best guess.
 
 Defined cases: a null text or one without a letter is `und` with score 0; with no labelled rows at all everything
-is; repeated rows are predicted alike; null languages and rows without an id are never learned; further columns are
-ignored.
+is; repeated rows are predicted alike and learned from once; null languages and rows without an id are never learned; of rows with one id and
+language the least text is learned from; a text of any length is counted in windows; an empty table gives an empty result; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, sliced
+from .common import bytes_of, drawn, sliced
+from .shingles import WINDOW
 
 DIMS = 4096
 #: The bound of the fit: labelled texts for each language.
@@ -38,18 +40,19 @@ def counts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     rows, n = len(offsets) - 1, len(raw)
     if n < 2:
         return np.zeros((rows, DIMS), np.float32)
-    b = _FOLD[raw]
-    row = np.repeat(np.arange(rows, dtype=np.int64), np.diff(offsets)) * DIMS
-    two = b[:-1] * np.uint32(256) + b[1:]
-    said = (b[:-1] != 32) | (b[1:] != 32)
     out = np.zeros(rows * DIMS, np.int64)
-    for size, code in ((2, two), (3, two[:-1] * np.uint32(256) + b[2:] + np.uint32(1 << 24))):
-        m = n - size + 1
-        if m <= 0:
-            continue
-        at = ((code * np.uint32(2654435761)) >> np.uint32(20)).astype(np.int64)
-        inside = (row[:m] == row[size - 1 :]) & said[:m] & said[size - 2 :]
-        out += np.bincount((row[:m] + at)[inside], minlength=rows * DIMS)
+    for lo in range(0, n, WINDOW):  # the n-grams that begin in a window, which is read two bytes further
+        b = _FOLD[raw[lo : lo + WINDOW + 2]]
+        row = np.repeat(np.arange(rows, dtype=np.int64), np.diff(np.clip(offsets, lo, lo + len(b)))) * DIMS
+        two = b[:-1] * np.uint32(256) + b[1:]
+        said = (b[:-1] != 32) | (b[1:] != 32)
+        for size, code in ((2, two), (3, two[:-1] * np.uint32(256) + b[2:] + np.uint32(1 << 24))):
+            m = min(WINDOW, len(b) - size + 1)
+            if m <= 0:
+                continue
+            at = ((code[:m] * np.uint32(2654435761)) >> np.uint32(20)).astype(np.int64)
+            inside = (row[:m] == row[size - 1 : size - 1 + m]) & said[:m] & said[size - 2 : size - 2 + m]
+            out += np.bincount((row[:m] + at)[inside], minlength=rows * DIMS)
     return out.reshape(rows, DIMS).astype(np.float32)
 
 
@@ -73,7 +76,7 @@ def has_letter() -> Column:
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, "text", 1 << 20):
-        c = counts(*bytes_of(batch.column("text"))).astype(np.float32)
+        c = np.minimum(counts(*bytes_of(batch.column("text"))), 65535).astype(np.uint16)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array([x.tobytes() for x in c], pa.binary())], ["doc_id", "lang", "c"])
 
 
@@ -99,22 +102,17 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 10) -> tuple[np.ndarray, np.n
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> dict | None:
-    """The model: languages of the centroids, centroids, rejection distances and idf. Of each language about
-    `sample` labelled texts, chosen by a hash of their ids and texts, are read."""
-    known = docs.where(learnable() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & has_letter()).select("doc_id", "lang", "text")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    """The model: languages of the centroids, centroids, rejection distances and idf. Of each language at most
+    `sample` labelled documents, chosen by a hash of their ids, are read; their counts (8 KB each) come to the driver."""
+    known = docs.where(learnable() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & has_letter()).select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    chosen, sizes = drawn(known.select("doc_id", "lang"), "lang", sample, 6)
     if not sizes:
         return None
-    scale = 1 << 30
-    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(scale, int(1.2 * sample / n * scale) + 1))])
-    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(6)), F.lit(scale).cast("long"))
-    chosen = known.where(draw < share[F.col("lang")])
-    rows = chosen.mapInArrow(_count_rows, "doc_id long, lang string, c binary").collect()
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["c"])))
+    once = known.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    rows = once.mapInArrow(_count_rows, "doc_id long, lang string, c binary").collect()
     taken: dict[str, list[np.ndarray]] = {}
-    for r in rows:
-        if len(taken.setdefault(r["lang"], [])) < sample:
-            taken[r["lang"]].append(np.frombuffer(r["c"], np.float32))
+    for r in sorted(rows, key=lambda r: r["doc_id"]):
+        taken.setdefault(r["lang"], []).append(np.frombuffer(r["c"], np.uint16).astype(np.float32))
     every = [c for lang in sorted(taken) for c in taken[lang]]
     idf = (np.log((1 + len(every)) / (1 + sum((c > 0).astype(np.int64) for c in every))) + 0.1).astype(np.float32)
     langs, centres, far = [], [], []

@@ -15,7 +15,8 @@ crowd those out: its target stays, and the tokens that are reached say so beside
 
 Defined cases: a null or empty text has no tokens, the prior as posterior and a rate like any other; without
 labels every posterior is uniform; null labels are none; of several labels of a document the largest count;
-repeated rows have one rate; an empty table gives an empty result; further columns are ignored.
+repeated rows have one rate and one draw (rows without an id draw by their text); of documents with one id the least text is
+learned from; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, sliced, small_batches, stored
+from .common import bytes_of, drawn, sliced, small_batches, stored
 from .shingles import word_hashes
 
 LOG = logging.getLogger(__name__)
 DOMAINS = ("clean", "low", "toxic")
 #: Target weights of the domains in the mixture's tokens.
 WEIGHTS = {"clean": 0.90, "low": 0.04, "toxic": 0.06}
-#: Word classes, and the evidence (in words) at which a long document's posterior is held soft.
+#: Word classes, and the words at which evidence is held: the log likelihoods of a longer text count as those of so many
+#: words with the same mean, as naive Bayes would else be certain of every long text and memberships no longer soft.
 FEATURES, EVIDENCE = 1 << 14, 40
 #: The bound of the classifier's fit: labelled documents of each domain.
 SAMPLE = 3000
@@ -66,19 +68,16 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
-    """Log priors (column 0) and log likelihoods of the word classes, a row for each domain. About `sample` labelled
+    """Log priors (column 0) and log likelihoods of the word classes, a row for each domain. At most `sample` labelled
     documents of each domain are learned from; their counts meet in DOMAINS x FEATURES numbers at most."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")).withColumn("domain", domain())
-    sizes = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    chosen, sizes = drawn(known.select("doc_id", "domain"), "domain", sample, 4)
     model = np.zeros((len(DOMAINS), FEATURES + 1))
     if not sizes:
         model[:, 0] = np.log(1 / len(DOMAINS))
         model[:, 1:] = np.log(1 / FEATURES)
         return model
-    scale = 1 << 30
-    share = F.create_map(*[F.lit(x) for k, n in sorted(sizes.items()) for x in (k, min(scale, int(1.1 * sample / n * scale) + 1))])
-    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(scale).cast("long")) < share[F.col("domain")]).select("doc_id", "domain")
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # 1.1 * sample rows of each domain at most, but for chance
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "domain").agg(F.min("text").alias("text"))  # `sample` ids of each domain at most
     counts = np.zeros((len(DOMAINS), FEATURES + 1))
     with small_batches(docs.sparkSession, 2000):
         found = rows.mapInArrow(_class_counts, "k int, f int, n long").groupBy("k", "f").agg(F.sum("n").alias("n")).collect()
@@ -154,18 +153,22 @@ def fit_rates(soft: DataFrame, weights: dict[str, float] = WEIGHTS, rounds: int
 
 
 def copies_of(rate: Column, id_col: str) -> Column:
-    """floor(rate), and one more with the chance of the rest by a hash of the id."""
-    u = F.pmod(F.xxhash64(id_col, F.lit(44)), F.lit(1_000_003).cast("long")) / F.lit(1_000_003.0)
+    """floor(rate), and one more with the chance of the rest by a hash of the id, or of the text (__h) without one."""
+    u = F.pmod(F.xxhash64(F.coalesce(F.col(id_col), F.col("__h")), F.lit(44)), F.lit(1_000_003).cast("long")) / F.lit(1_000_003.0)
     return F.floor(rate + u).cast("int")
 
 
+def _own_hash() -> Column:
+    return F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+
+
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:
     """doc_id, n_tokens, p_clean, p_low, p_toxic, rate, copies for every row of docs (doc_id, text), and on each row the
     tokens of each domain that the mixture should have (target_clean, ...) and those that the rates reach (reached_clean, ...)."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _own_hash().alias("__h"))
     model = fit(docs, labels)
     with small_batches(docs.sparkSession, 2000):
-        soft = stored(posteriors(ids, model, ["doc_id"]), "op4-soft")
+        soft = stored(posteriors(ids, model, ["doc_id", "__h"]), "op4-soft")
     rate, target, reached = fit_rates(soft, weights)
     rated = soft.withColumn("rate", rate)
     totals = [F.lit(float(x[i])).alias(f"{name}_{k}") for name, x in (("target", target), ("reached", reached)) for i, k in enumerate(DOMAINS)]
@@ -178,7 +181,7 @@ def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHT
     own = docs.columns
     model = fit(docs, labels)
     with small_batches(docs.sparkSession, 2000):
-        wide = stored(posteriors(docs, model, own), "op4-docs")
+        wide = stored(posteriors(docs.withColumn("__h", _own_hash()), model, [*own, "__h"]), "op4-docs")
     rate = fit_rates(wide.select("__n", "__p"), weights)[0]
     counted = wide.withColumn("__copies", copies_of(rate, "doc_id")).where("__copies > 0")
     return counted.select(*own, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__k")).select(*own)

@@ -2,25 +2,29 @@
 Scalable and Robust Set Similarity Join, 2018).
 
 1. One scan shingles each whole text and takes a one-permutation MinHash signature from the sorted hashes.
-   Documents with one and the same set fold into a representative (the least doc_id).
-2. `trees` independent trees branch the representatives: a node picks one of the signature's coordinates,
-   and a second one with the chance that keeps a pair at the threshold alive, and a document goes to the
-   child that its minwise token there names. Nodes are counted before anything wide moves; single documents
-   leave, nodes of up to `leaf` documents are compared exhaustively on sketches of their lowest tokens, larger
-   ones branch on.
-3. What is still larger at `depth` is compared exhaustively in blocks of `leaf`, so no cap loses a pair.
-   The sketch is the same in all trees: of two sets above LOWEST tokens at the threshold, about 1 pair in 10,000 (the
-   binomial tail of 192 tokens at 0.85 beyond four standard deviations) falls short in every tree and is lost
-   unless other links join it. That comes on top of what the branching misses.
-4. A leaf first gives a spanning forest of its likely pairs, not all pairs; they are confirmed on full sets.
+   Documents with one and the same set fold into a node, named by a hash of the set.
+2. `trees` independent trees branch the nodes: each tree has coordinates of the signature of its own. A branch picks one of
+   them, and a second one with the chance that keeps a pair at the threshold alive, and a set goes to the
+   child that its minwise token there names. Children are counted before anything wide moves; single sets
+   leave, those of up to `leaf` sets are compared exhaustively, larger ones branch on.
+3. Leaves compare one byte of each coordinate. A pair is likely down to six standard deviations below the threshold, so the
+   comparison itself loses about one pair in 10 ** 9 at the threshold, and none that are much closer.
+4. What is still larger at `depth` is compared exhaustively in blocks of `leaf`, so no cap loses a pair: all with the
+   least set first, then every two blocks that links so far leave in different components.
+5. A leaf first gives a spanning forest of its likely pairs, not all pairs; they are confirmed on full sets.
    A second look at the leaves gives every likely pair that the confirmed links leave in two components.
-5. Components come from distributed star contraction. Nothing grows on the driver.
+6. Components come from distributed star contraction. Nothing grows on the driver.
 
-Hash sets stand for word sets (64 bits a shingle).
+Recall: of a pair at the very threshold (0.85) a tree keeps the two together through a branching with the chance of 0.85, more for
+closer ones. With the second coordinate on average one path survives each level, and at least one does through k levels with a
+chance of 0.87, 0.78, 0.70, 0.64, 0.58, 0.54, 0.50, 0.47 for k = 1 .. 8. Nearly all leaves are one or two levels deep, where 16 trees
+miss less than one pair in 10 ** 10; at the full depth of 8 they miss (1 - 0.47) ** 16, four pairs in 100,000, unless other links join it.
+
+Hash sets stand for word sets (64 bits a shingle, made of 64-bit hashes of words that nobody can make collide on purpose).
 
 Defined cases: a null text or one without words has no shingles and links with nothing. Rows without an id
-cannot be named: they get n_shingles, a null component_id and stay. Rows that share a doc_id count as one
-document: its links are those of any of its texts. An empty table gives an empty result. Other columns
+cannot be named: they get n_shingles, a null component_id and stay. Rows that share a doc_id are judged each by its own
+text; repeated rows are judged alike. An empty table gives an empty result. Other columns
 are ignored.
 """
 
@@ -31,16 +35,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, bytes_of, drop, give_back, kept_at, marked, sliced, slot, small_batches, stored, suspects
+from .common import bitmap, bits_for, bytes_of, clear_scratch, drop, give_back, kept_at, marked, scratch_mark, sliced, slot, small_batches, stored, suspects
 from .components import components
 from .shingles import mix, shingle_sets
 
 COORDS = 128
-#: Tokens of a sketch that leaves compare: the lowest of a set, all of a set that has no more.
-LOWEST = 192
+#: Standard deviations below the threshold that a pair of signatures may fall before it is not likely.
+SLACK = 6
+#: Pairs of one set that a task joins at once; a set with more is sent to several.
+HUB = 512
 
 
 def _detours() -> np.ndarray:
@@ -67,63 +73,60 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return tokens[np.where(filled, np.arange(COORDS), source)]
 
 
+def _set_key(shingles: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, "text", 1 << 19):
         sets = shingle_sets(*bytes_of(batch.column("text")))
+        signs = [signature(s) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("text_key"),
                 pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
-                pa.array([(s[:LOWEST] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary()),
+                pa.array([_set_key(s) for s in sets], pa.binary()),
+                pa.array([None if s is None else s.tobytes() for s in signs], pa.binary()),
+                pa.array([None if s is None else s.astype(np.uint8).tobytes() for s in signs], pa.binary()),
             ],
-            ["doc_id", "n_shingles", "set_key", "sig", "low"],
+            ["doc_id", "text_key", "n_shingles", "set_key", "sig", "low"],
         )
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, "text", 1 << 19):
         sets = shingle_sets(*bytes_of(batch.column("text")))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "shingles"])
+        yield pa.RecordBatch.from_arrays([pa.array([_set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["set_key", "shingles"])
 
 
-def _branch(rows: DataFrame, share: float) -> DataFrame:
-    """rows: node, rep, sig. Children by one coordinate of the node's choice and, for `share` of the nodes,
-    by a second one."""
-    pick = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(COORDS).cast("long")).cast("int")
+def _branch(rows: DataFrame, share: float, trees: int) -> DataFrame:
+    """rows: node, tree, rep, sig. Children by one coordinate of the node's choice among those of its tree and, for `share` of
+    the nodes, by a second one."""
+    own = max(1, COORDS // trees)
+    pick = lambda k: ((F.col("tree") * own + F.pmod(F.xxhash64("node", F.lit(k)), F.lit(own).cast("long"))) % COORDS).cast("int")
     second = (F.pmod(F.xxhash64("node", F.lit(3)), F.lit(10_000).cast("long")) < int(10_000 * share)) & (pick(1) != pick(2))
     coords = F.when(second, F.array(pick(1), pick(2))).otherwise(F.array(pick(1)))
-    rows = rows.select("node", "rep", "sig", F.explode(coords).alias("c"))
-    return rows.select(F.xxhash64("node", "c", F.expr("substring(sig, c * 4 + 1, 4)")).alias("node"), "rep")
+    rows = rows.select("node", "tree", "rep", "sig", F.explode(coords).alias("c"))
+    return rows.select(F.xxhash64("node", "c", F.expr("substring(sig, c * 4 + 1, 4)")).alias("node"), "tree", "rep")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """rows (node, rep) with the size n of their node; those alone in it are gone."""
+    """rows (node, tree, rep) with the size n of their node; those alone in it are gone."""
     sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
     return rows.join(sizes, "node")
 
 
-def _likely(lows: list[np.ndarray], sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs i < j that may reach the threshold, and their similarity in the sketches. Below the least of two sketches'
-    ends both are complete: exact where the sketch is the whole set, else an estimate that may fall short
-    by four standard deviations. Tokens that a single sketch has are counted and not laid out."""
-    whole = sizes <= LOWEST
-    ends = np.array([0xFFFFFFFF if w else int(x[-1]) for w, x in zip(whole, lows, strict=True)], np.int64)
-    tokens, at, often = np.unique(np.concatenate(lows), return_inverse=True, return_counts=True)
-    column = np.cumsum(often > 1) - 1
-    row = np.repeat(np.arange(len(lows)), [len(x) for x in lows])
-    some = often[at] > 1
-    laid = np.zeros((len(lows), int((often > 1).sum())), np.float32)
-    laid[row[some], column[at[some]]] = 1
-    both = laid @ laid.T
-    upto = np.array([np.searchsorted(x, ends, "right") for x in lows])
-    union = upto + upto.T - both
-    like = both / np.maximum(union, 1)
+def likely(lows: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs i < j that may reach the threshold by the bytes of their coordinates and their sizes, and the share of equal
+    coordinates. A set has about as many independent coordinates as half its shingles, COORDS at most."""
     share = percent / 100
-    spread = np.where(whole[:, None] & whole[None, :], 0.01, 4 * np.sqrt(share * (1 - share) / np.maximum(union, 1)))
     small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
-    i, j = np.nonzero(np.triu((like >= share - spread) & (100 * small >= percent * large), 1))
+    like = np.empty(large.shape)
+    for k in range(0, len(lows), 64):  # 64 x n x COORDS bytes at once
+        like[k : k + 64] = np.count_nonzero(lows[k : k + 64, None] == lows[None], axis=2) / COORDS
+    least = share - SLACK * np.sqrt(share * (1 - share) / np.minimum(COORDS, large / 2))
+    i, j = np.nonzero(np.triu((like >= least) & (100 * small >= percent * large), 1))
     return i, j, like[i, j]
 
 
@@ -141,7 +144,7 @@ def _leaf_pairs(percent: int, everything: bool):
     def pairs_of(reps: list, comps: list, sizes: list, lows: list) -> Iterator[tuple[int, int]]:
         if len(reps) < 2 or len(set(comps)) < 2:
             return
-        i, j, n = _likely([np.frombuffer(x, np.uint32) for x in lows], np.array(sizes), percent)
+        i, j, n = likely(np.frombuffer(b"".join(lows), np.uint8).reshape(-1, COORDS), np.array(sizes), percent)
         order = np.argsort(-n, kind="stable")
         parent: dict[int, int] = {}
         for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
@@ -195,26 +198,38 @@ def _confirm(percent: int):
 def _leaves(reps: DataFrame, trees: int, leaf: int, depth: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
     """(node, rep) of the leaves that hold two or more, and (node, rep, n) of nodes still larger at `depth`."""
     share = 100 / percent - 1
-    roots = reps.select(F.explode(F.sequence(F.lit(1).cast("long"), F.lit(trees).cast("long"))).alias("node"), "rep", "sig")
-    done, large = None, roots
+    tree = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long")))
+    large = reps.select(tree.alias("tree"), "rep", "sig").select(F.col("tree").alias("node"), "tree", "rep", "sig")
+    done = None
     for level in range(depth):
-        rows = stored(_shared(_branch(large, share).distinct() if level else _branch(large, share)), f"op3-level{level}")
+        rows = _branch(large, share, trees)
+        rows = stored(_shared(rows.distinct() if level else rows), f"op3-level{level}")
         small = rows.where(F.col("n") <= leaf).select("node", "rep")
         done = small if done is None else done.unionByName(small)
         over = rows.where(F.col("n") > leaf)
         if over.isEmpty():
             return done, None
-        large = over.select("node", "rep").join(reps.select("rep", "sig"), "rep")
-    return done, over
+        large = over.select("node", "tree", "rep").join(reps.select("rep", "sig"), "rep")
+    return done, over.select("node", "rep", "n")
 
 
 def _blocks(over: DataFrame, leaf: int) -> DataFrame:
-    """(node, rep) with each large node cut into blocks and a new node for every two of them, so that any two of
-    its documents meet in a node of about `leaf`."""
-    parts = F.ceil(2 * F.col("n") / F.lit(leaf)).cast("long")
-    mine = F.pmod(F.xxhash64("rep", F.lit(5)), parts)
-    met = over.select("node", "rep", mine.alias("p"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("q"))
-    return met.select(F.xxhash64("node", F.least("p", "q"), F.greatest("p", "q")).alias("node"), "rep")
+    """(node, rep) for rows node, rep, comp: each node cut into blocks of about leaf / 2, and a new node for every two blocks
+    that hold more than one component. A component of more than a block has blocks of its own, which do not meet each other."""
+    half = max(1, leaf // 2)
+    sizes = over.groupBy("node", "comp").agg(F.count("*").alias("m"))
+    rest = sizes.where(F.col("m") <= half).groupBy("node").agg(F.sum("m").alias("mixed"))
+    parts = lambda n: F.ceil(F.coalesce(n, F.lit(1)) / F.lit(half)).cast("long")
+    own = F.when(F.col("m") > half, F.col("comp"))
+    count = F.when(own.isNotNull(), parts(F.col("m"))).otherwise(parts(F.col("mixed")))
+    kinds = sizes.join(rest, "node", "left").select("node", "comp", own.alias("own"), count.alias("parts"))
+    rows = over.join(kinds, ["node", "comp"]).select("node", "rep", "own", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("parts")).alias("k"))
+    rows = stored(rows.withColumn("block", F.xxhash64("own", "k")), "op3-blocks")
+    blocks = rows.select("node", "block", "own").distinct()
+    p, q = [blocks.select(F.col("node"), F.col("block").alias(x), F.col("own").alias(f"own_{x}")) for x in ("p", "q")]
+    two = p.join(q, "node").where("p <= q AND (own_p IS NULL OR own_q IS NULL OR own_p <> own_q)")
+    met = two.select("node", F.xxhash64("node", "p", "q").alias("meet"), F.explode(F.array_distinct(F.array("p", "q"))).alias("block"))
+    return rows.join(met, ["node", "block"]).select(F.col("meet").alias("node"), "rep")
 
 
 def _compare(rows: DataFrame, reps: DataFrame, percent: int, everything: bool) -> DataFrame:
@@ -224,19 +239,31 @@ def _compare(rows: DataFrame, reps: DataFrame, percent: int, everything: bool) -
     return near.mapInArrow(_leaf_pairs(percent, everything), "a long, b long").distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, bits: int) -> DataFrame:
+def _with_sets(pairs: DataFrame, sets: DataFrame, of: str, other: str, to: str) -> DataFrame:
+    """pairs with the set of column `of` as `to`. A set with many pairs is sent to several tasks, each with a part of them."""
+    hubs = pairs.groupBy(F.col(of).alias("hub")).agg(F.ceil(F.count("*") / HUB).cast("int").alias("parts")).where("parts > 1")
+    part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64(other), F.col("parts"))).otherwise(F.lit(0)).cast("int")
+    dealt = pairs.join(hubs, pairs[of] == hubs["hub"], "left").withColumn("part", part).drop("hub", "parts")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+    sent = sets.join(hubs, sets["rep"] == hubs["hub"], "left").select(F.col("rep").alias(of), F.col("shingles").alias(to), copies)
+    return dealt.join(sent, [of, "part"]).drop("part")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, folded: DataFrame, percent: int, bits: int | None) -> DataFrame:
     """The pairs whose full shingle sets, taken from the texts again, reach the threshold."""
     spark = docs.sparkSession
-    named = pairs.select(F.col("a").alias("x")).unionByName(pairs.select(F.col("b").alias("x")))
-    some = bitmap(named.select(slot([F.col("x")], bits).alias("slot")), bits)
-    own = docs.where(F.col("doc_id").isNotNull() & marked(some, slot([F.col("doc_id")], bits)))
+    named = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+    named = stored(folded.join(named, "rep").select("rep", "set_key", "doc_id"), "op3-named")
+    bits = bits or bits_for(named.count())
+    wanted = marked(bitmap(named.select(slot([F.col("doc_id")], bits).alias("slot")), bits), slot([F.col("doc_id")], bits))
     with small_batches(spark, 1000):
-        sets, at = kept_at(own.mapInArrow(_full_sets, "doc_id long, shingles binary"), "op3-sets")
-    with_a = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
-    with_b = with_a.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
-    with small_batches(spark, 500):
-        links = stored(with_b.mapInArrow(_confirm(percent), "a long, b long").distinct(), "op3-links")
+        found, at = kept_at(docs.where(F.col("doc_id").isNotNull() & wanted).select("text").mapInArrow(_full_sets, "set_key binary, shingles binary"), "op3-found")
+    sets, own = kept_at(found.join(named, "set_key").groupBy("rep").agg(F.any_value("shingles").alias("shingles")), "op3-sets")
     drop(spark, at)
+    both = _with_sets(_with_sets(pairs, sets, "a", "b", "sa"), sets, "b", "a", "sb")
+    with small_batches(spark, 500):
+        links = stored(both.select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a long, b long").distinct(), "op3-links")
+    drop(spark, own)
     return links
 
 
@@ -244,54 +271,67 @@ def _labels(links: DataFrame) -> DataFrame:
     return components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, trees: int = 16, leaf: int = 256, depth: int = 6, bitmap_bits: int = 1 << 22) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, set_size (documents with the same shingle set) for every row
-    of docs. Linked are documents whose shingle sets have 100 * intersection >= percent * union.
-
-    trees: a pair at the threshold meets in a leaf of one tree with a chance of at least
-    (percent / 100) ** depth, and of percent / 100 where nodes are small; so 16 trees miss less than
-    one in 10 ** 4 pairs at the very threshold.
-    """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    with small_batches(docs.sparkSession, 2000):
-        wide, at = kept_at(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, set_key binary, sig binary, low binary"), "op3-wide")
-    named = wide.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    folded = stored(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("set_size"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sig").alias("sig"), F.any_value("low").alias("low")), "op3-reps")
+def _judged(docs: DataFrame, percent: int, trees: int, leaf: int, depth: int, bits: int | None) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id, kept, set_size for rows doc_id, text, text_key."""
+    spark = docs.sparkSession
+    mark = scratch_mark()
+    with small_batches(spark, 2000):
+        wide, at = kept_at(docs.mapInArrow(_sketch, "doc_id long, text_key binary, n_shingles long, set_key binary, sig binary, low binary"), "op3-wide")
+    has_set = "set_key IS NOT NULL AND doc_id IS NOT NULL"
+    one = [F.any_value(c).alias(c) for c in ("n_shingles", "sig", "low")]
+    folded = wide.where(has_set).groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("set_size"), *one)
+    folded, folded_at = kept_at(folded.withColumn("rep", F.expr("conv(hex(substring(set_key, 1, 8)), 16, -10)").cast("long")), "op3-reps")
     reps = folded.select("rep", "n_shingles", "sig", "low")
-    sketch = stored(wide.drop("sig", "low"), "op3-sketch")
-    drop(docs.sparkSession, at)
-    named = sketch.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
+    sketch, sketch_at = kept_at(wide.drop("sig", "low"), "op3-sketch")
+    drop(spark, at)
 
     leaves, over = _leaves(reps, trees, leaf, depth, percent)
     first = _compare(leaves.withColumn("comp", F.col("rep")), reps, percent, False)
     if over is not None:
         pivots = over.groupBy("node").agg(F.min("rep").alias("a"))
         first = first.unionByName(over.join(pivots, "node").where("rep > a").select("a", F.col("rep").alias("b"))).distinct()
-    with small_batches(docs.sparkSession, 2000):
+    with small_batches(spark, 2000):
         first = stored(first, "op3-pairs")
-    links = _confirmed(first, docs, percent, bitmap_bits)
+    links = _confirmed(first, docs, folded, percent, bits)
 
     labels = stored(_labels(links), "op3-labels1")
     at = lambda rows: rows.join(labels, rows["rep"] == labels["node"], "left").select(rows["node"], *[rows[c] for c in rows.columns if c != "node"], F.coalesce("root", "rep").alias("comp"))
     mixed = lambda rows: rows.join(rows.groupBy("node").agg((F.min("comp") < F.max("comp")).alias("mixed")).where("mixed"), "node").drop("mixed")
     again = mixed(at(leaves))
     if over is not None:
-        wide = mixed(at(over))
-        cut = _blocks(wide, leaf)
-        again = again.unionByName(mixed(at(cut)))
-    with small_batches(docs.sparkSession, 2000):
+        again = again.unionByName(mixed(at(_blocks(mixed(at(over)), leaf))))
+    with small_batches(spark, 2000):
         second = stored(_compare(again.select("node", "rep", "comp"), reps, percent, True).join(first, ["a", "b"], "left_anti"), "op3-pairs2")
-    links2 = _confirmed(second, docs, percent, bitmap_bits)
+    links2 = _confirmed(second, docs, folded, percent, bits)
+
+    roots = labels if links2.isEmpty() else _labels(labels.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(links2))
+    named = folded.join(roots, folded["rep"] == roots["node"], "left").select("set_key", "set_size", "doc_id", F.coalesce("root", "rep").alias("root"))
+    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    by_set, by_set_at = kept_at(named.join(least, "root").select("set_key", "set_size", "component_id"), "op3-sets-named")
+    clear_scratch(spark, mark, {sketch_at, by_set_at})
+    found = sketch.where(has_set).join(by_set, "set_key").select("doc_id", "text_key", "n_shingles", "component_id", "set_size")
+    alone = sketch.where(f"NOT ({has_set})").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("set_size"))
+    return found.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, trees: int = 16, leaf: int = 256, depth: int = 8, bitmap_bits: int | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, set_size (documents with the same shingle set) for every row
+    of docs. Linked are documents whose shingle sets have 100 * intersection >= percent * union.
+
+    trees: 1 to COORDS. bitmap_bits: size of the bitmaps that choose rows for a join; by default it follows the counts.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.lit(b"").alias("text_key"))
+    return _judged(rows, percent, trees, leaf, depth, bitmap_bits).select("doc_id", "n_shingles", "component_id", "kept", "set_size")
+
 
-    roots = labels if links2.isEmpty() else stored(_labels(links.unionByName(links2)), "op3-labels2")
-    by_set = folded.join(roots, folded["rep"] == roots["node"], "left").select("set_key", "set_size", F.coalesce("root", "rep").alias("component_id"))
-    found = named.join(by_set, "set_key").select("doc_id", "n_shingles", "component_id", "set_size")
-    alone = sketch.where("set_key IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("set_size"))
-    return found.unionByName(alone).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "set_size")
+def _text_key(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each group of near duplicates, with its own columns."""
-    gone = stored(near_dedup(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "op3-gone")
-    some, others = suspects(docs, id_col, gone)
-    return others.unionByName(some.join(gone, some[id_col] == gone["__gone"], "left_anti"))
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """docs with one document of each group of near duplicates, with its own columns. Rows leave by id and text."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), _text_key(F.col(text_col)).alias("text_key"))
+    gone = stored(_judged(rows, percent, 16, 256, 8, None).where("NOT kept").select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).distinct(), "op3-gone")
+    some, others = suspects(docs, id_col, gone.select("__gone"))
+    some = some.withColumn("__own", _text_key(F.col(text_col)))
+    return others.unionByName(some.join(gone, (some[id_col] == gone["__gone"]) & (some["__own"] == gone["__key"]), "left_anti").drop("__own"))

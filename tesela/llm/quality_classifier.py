@@ -1,13 +1,15 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
-A document is covered by chunks of 520 bytes, a new one every 512. Each byte has a learned embedding; learned filters
-of 16 bytes slide over a chunk in steps of 8, their responses are rectified and max-pooled over the chunk, and the mean
+A document is covered by chunks of 526 bytes, a new one every 512. Each byte has a learned embedding; learned filters
+of 16 bytes slide over a chunk in steps of 2, their responses are rectified and max-pooled over the chunk, and the mean
 of a document's pooled chunks gives one logit and probability. Every byte of every document is read.
 
-The fit uses a bounded sample of labelled rows (SAMPLE), drawn by a hash of doc_id, and runs in numpy on the
-driver with Adam. Defined cases: a null or empty text is one chunk of padding and gets a score; without
-labels every score is 0.5; of several labels of one document the largest counts; null quality is no label;
-other columns are ignored.
+The fit learns from a bounded sample: SAMPLE documents of each class, drawn by a hash of doc_id, and of each up to
+LEARNED chunks spread evenly over the whole text, however long. They come to the driver (17 KB a document at most), where numpy
+fits with Adam. Defined cases: a null or empty text is one chunk of padding and gets a score; without
+labels every score is 0.5; of several labels of one document the largest counts; null quality is no label; repeated rows are
+learned from once, and of rows with one id the least text; a text of any length is scored in parts; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, sliced
+from .common import bytes_of, drawn, sliced
 
-CHUNK, OVERLAP, STEP = 512, 8, 8
+CHUNK, WIDTH, STRIDE = 512, 16, 2
+#: Bytes of a chunk: a filter's last place begins STRIDE bytes before the next chunk.
+SPAN = CHUNK + WIDTH - STRIDE
 EMBED, FILTERS = 6, 32
-#: The bound of the fit: labelled documents of each class, and the longest text among them.
-SAMPLE, LONGEST = 1200, 60_000
+#: The bound of the fit: labelled documents of each class, and chunks of each document.
+SAMPLE, LEARNED = 1200, 32
 EPOCHS, BATCH, RATE = 8, 48, 0.01
 THRESHOLD = 0.3
 
@@ -33,70 +37,81 @@ def held_out() -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def chunks(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all chunks (n x 520, padded with 0), and where each row's chunks begin."""
-    sizes = np.diff(offsets)
-    n = np.maximum(1, -(-sizes // CHUNK))
-    first = np.zeros(len(n) + 1, np.int64)
-    np.cumsum(n, out=first[1:])
-    row = np.repeat(np.arange(len(n)), n)
-    start = offsets[row] + (np.arange(first[-1]) - first[row]) * CHUNK
-    at = start[:, None] + np.arange(CHUNK + OVERLAP)
+def chunk_counts(offsets: np.ndarray) -> np.ndarray:
+    """Where each row's chunks begin (one more at the end)."""
+    first = np.zeros(len(offsets), np.int64)
+    np.cumsum(np.maximum(1, -(-np.diff(offsets) // CHUNK)), out=first[1:])
+    return first
+
+
+def chunks(raw: np.ndarray, offsets: np.ndarray, first: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The bytes of the chunks of these numbers (n x SPAN), padded with 0."""
+    row = np.searchsorted(first, which, "right") - 1
+    at = (offsets[row] + (which - first[row]) * CHUNK)[:, None] + np.arange(SPAN)
     inside = at < offsets[row + 1][:, None]
     padded = raw if len(raw) else np.zeros(1, np.uint8)
-    return np.where(inside, padded[np.minimum(at, len(padded) - 1)], 0).astype(np.uint8), first
+    return np.where(inside, padded[np.minimum(at, len(padded) - 1)], 0).astype(np.uint8)
+
+
+def spread(first: np.ndarray, most: int = LEARNED) -> list[np.ndarray]:
+    """For each row the numbers of at most `most` of its chunks, evenly spread."""
+    return [np.arange(a, z) if z - a <= most else a + np.arange(most) * (z - a - 1) // (most - 1) for a, z in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
 
 
 class Net:
     def __init__(self, seed: int = 7):
         rng = np.random.default_rng(seed)
         normal = lambda scale, *shape: (rng.standard_normal(shape) * scale).astype(np.float32)
-        half = STEP * EMBED
-        self.p = {"e": normal(0.5, 256, EMBED), "a": normal((2 * half) ** -0.5, half, FILTERS), "b": normal((2 * half) ** -0.5, half, FILTERS), "c": np.zeros(FILTERS, np.float32), "v": normal(FILTERS**-0.5, FILTERS), "d": np.zeros(1, np.float32)}
+        reach = WIDTH * EMBED
+        self.p = {"e": normal(0.5, 256, EMBED), "w": normal(reach**-0.5, reach, FILTERS), "c": np.zeros(FILTERS, np.float32), "v": normal(FILTERS**-0.5, FILTERS), "d": np.zeros(1, np.float32)}
 
     def pooled(self, data: np.ndarray, keep: bool = False):
-        """n x FILTERS, the largest response of each filter in each chunk."""
+        """n x FILTERS, the largest response of each filter in each chunk, at least 0; with keep also the largest ones as they
+        are and the bytes where they begin."""
         p, n = self.p, len(data)
-        x = p["e"][data].reshape(n * (CHUNK + OVERLAP) // STEP, STEP * EMBED)
-        steps = (CHUNK + OVERLAP) // STEP
-        h = (x @ p["a"]).reshape(n, steps, FILTERS)[:, :-1] + (x @ p["b"]).reshape(n, steps, FILTERS)[:, 1:] + p["c"]
-        best = h.max(1)
-        return (np.maximum(best, 0), x, h.argmax(1), best) if keep else np.maximum(best, 0)
+        x = p["e"][data]
+        best = place = None
+        for phase in range(0, WIDTH, STRIDE):  # the filter's places that are WIDTH apart are one product
+            h = x[:, phase : phase + CHUNK].reshape(n, CHUNK // WIDTH, WIDTH * EMBED) @ p["w"]  # a view; chunk by chunk, in one thread
+            top = h.max(1)
+            if keep:
+                spot = h.argmax(1) * WIDTH + phase
+                place = spot if place is None else np.where(top > best, spot, place)
+            best = top if best is None else np.maximum(best, top)
+        best = best + p["c"]
+        return (np.maximum(best, 0), best, place) if keep else np.maximum(best, 0)
 
     def logits(self, pooled: np.ndarray, first: np.ndarray) -> np.ndarray:
         means = np.add.reduceat(pooled, first[:-1], axis=0) / np.diff(first)[:, None]
         return means @ self.p["v"] + self.p["d"][0]
 
-    def score(self, raw: np.ndarray, offsets: np.ndarray, most: int = 1024) -> np.ndarray:
-        data, first = chunks(raw, offsets)
-        pooled = np.concatenate([self.pooled(data[i : i + most]) for i in range(0, len(data), most)])
+    def score(self, raw: np.ndarray, offsets: np.ndarray, most: int = 256) -> np.ndarray:
+        if len(offsets) < 2:
+            return np.zeros(0)
+        first = chunk_counts(offsets)
+        pooled = np.concatenate([self.pooled(chunks(raw, offsets, first, np.arange(i, min(i + most, first[-1])))) for i in range(0, first[-1], most)])
         return 1 / (1 + np.exp(-np.clip(self.logits(pooled, first).astype(np.float64), -30, 30)))
 
     def gradients(self, data: np.ndarray, first: np.ndarray, y: np.ndarray, w: np.ndarray) -> dict:
         """Of the weighted mean log loss of rows with chunks data[first[k]:first[k + 1]]."""
         p, n = self.p, len(data)
-        pooled, x, at, best = self.pooled(data, True)
+        pooled, best, place = self.pooled(data, True)
         k = np.diff(first)
         means = np.add.reduceat(pooled, first[:-1], axis=0) / k[:, None]
         out = 1 / (1 + np.exp(-np.clip(means @ p["v"] + p["d"][0], -30, 30)))
-        g = ((out - y) * w / len(y)).astype(np.float32)
+        g = ((out - y) * w / len(y)).astype(p["v"].dtype)
         row = np.repeat(np.arange(len(k)), k)
         up = (g / k)[row][:, None] * p["v"] * (best > 0)
-        steps = (CHUNK + OVERLAP) // STEP
-        spot = np.arange(n)[:, None] * steps + at
-        xa, xb = x[spot], x[spot + 1]
-        grads = {"v": means.T @ g, "d": np.array([g.sum()]), "c": up.sum(0), "a": np.einsum("nfi,nf->if", xa, up), "b": np.einsum("nfi,nf->if", xb, up)}
-        flow = np.zeros((256, EMBED), np.float32)
-        bytes_at = data.reshape(n * steps, STEP)
-        for half, where in (("a", spot), ("b", spot + 1)):
-            back = (up[:, :, None] * p[half].T[None]).reshape(-1, EMBED)
-            flat = bytes_at[where].reshape(-1)
-            for c in range(EMBED):
-                flow[:, c] += np.bincount(flat, weights=back[:, c], minlength=256)
-        return grads | {"e": flow}
-
-
-def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Net:
+        seen = data[np.arange(n)[:, None, None], place[:, :, None] + np.arange(WIDTH)]  # n x FILTERS x WIDTH bytes
+        x = p["e"][seen].reshape(n, FILTERS, WIDTH * EMBED)
+        grads = {"v": means.T @ g, "d": np.array([g.sum()]), "c": up.sum(0), "w": np.einsum("nfi,nf->if", x, up)}
+        back = (up[:, :, None] * p["w"].T[None]).reshape(-1, EMBED)
+        flat = seen.reshape(-1)
+        return grads | {"e": np.stack([np.bincount(flat, weights=back[:, c], minlength=256) for c in range(EMBED)], 1)}
+
+
+def train(texts: list[np.ndarray], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Net:
+    """texts: the chunks (n x SPAN) of each document."""
     net, rng = Net(seed), np.random.default_rng(seed)
     y = np.array(labels, np.float32)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
@@ -107,9 +122,8 @@ def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int
     for epoch in range(epochs):
         for k in rng.permutation(len(batches)):
             pick = batches[k]
-            raw = np.frombuffer(b"".join(texts[i] for i in pick), np.uint8)
-            offsets = np.concatenate([[0], np.cumsum([len(texts[i]) for i in pick])]).astype(np.int64)
-            data, first = chunks(raw, offsets)
+            first = np.concatenate([[0], np.cumsum([len(texts[i]) for i in pick])])
+            data = np.concatenate([texts[i] for i in pick])
             t += 1
             rate = RATE * (0.3 if epoch >= epochs - 2 else 1)
             for key, g in net.gradients(data, first, y[pick], np.ones(len(pick), np.float32)).items():
@@ -119,19 +133,24 @@ def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int
     return net
 
 
+def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches, "text", 2 << 20):
+        raw, offsets = bytes_of(batch.column("text"))
+        first = chunk_counts(offsets)
+        data = [chunks(raw, offsets, first, which).tobytes() for which in spread(first)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(data, pa.binary())], ["doc_id", "quality", "data"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Net | None:
-    """The network, from about `sample` documents of each class; label and text only are used."""
-    known = labels.where(~held_out() & F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    sizes = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    """The network, from at most `sample` documents of each class; label and text only are used."""
+    known = labels.where(~held_out() & F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("quality") > 0).cast("int")).alias("quality"))
+    chosen, sizes = drawn(known, "quality", sample, 10)
     if not sizes:
         return None
-    scale = 1 << 30
-    share = F.create_map(*[F.lit(x) for q, n in sorted(sizes.items()) for x in (q, min(scale, int(1.1 * sample / n * scale) + 1))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(scale).cast("long"))
-    drawn = known.where(draw < share[F.col("quality")])  # 1.1 * sample rows of each class, a few more by chance
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= LONGEST)
-    rows = sorted((r["doc_id"], r["text"], r["quality"]) for r in texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "quality").collect())
-    return train([r[1].encode() for r in rows], [int(r[2] > 0) for r in rows]) if rows else None
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    once = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    rows = sorted(once.mapInArrow(_learned, "doc_id long, quality int, data binary").collect(), key=lambda r: r["doc_id"])
+    return train([np.frombuffer(r["data"], np.uint8).reshape(-1, SPAN) for r in rows], [r["quality"] for r in rows]) if rows else None
 
 
 def predict(docs: DataFrame, net: Net | None) -> DataFrame:

@@ -68,16 +68,17 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 OP9 = f"""
 WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS norm FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-       doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+       row_number() OVER (PARTITION BY norm ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(norm) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY norm)
 """
 
 OP7 = f"""
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
-d AS (SELECT page_id, url, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+d AS (SELECT page_id, url, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest, min(page_id) OVER (PARTITION BY html) AS first,
+      row_number() OVER (PARTITION BY html ORDER BY page_id NULLS LAST, url NULLS LAST) AS place FROM p)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= {warc.LEAST_REVISIT} AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= {warc.LEAST_REVISIT} AND page_id <> first THEN first END AS refers_to,
+       CASE WHEN payload_bytes >= {warc.LEAST_REVISIT} AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {warc.LEAST_REVISIT} AND place > 1 THEN first END AS refers_to,
        coalesce(url, 'about:blank') AS target_uri
 FROM d
 """
