@@ -257,9 +257,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, folded: DataFrame, percent: in
     bits = bits or bits_for(named.count())
     wanted = marked(bitmap(named.select(slot([F.col("doc_id")], bits).alias("slot")), bits), slot([F.col("doc_id")], bits))
     with small_batches(spark, 1000):
-        found, at = kept_at(docs.where(F.col("doc_id").isNotNull() & wanted).select("text").mapInArrow(_full_sets, "set_key binary, shingles binary"), "op3-found")
-    sets, own = kept_at(found.join(named, "set_key").groupBy("rep").agg(F.any_value("shingles").alias("shingles")), "op3-sets")
-    drop(spark, at)
+        found = docs.where(F.col("doc_id").isNotNull() & wanted).select("text").mapInArrow(_full_sets, "set_key binary, shingles binary")
+        sets, own = kept_at(found.join(named, "set_key").groupBy("rep").agg(F.any_value("shingles").alias("shingles")), "op3-sets")
     both = _with_sets(_with_sets(pairs, sets, "a", "b", "sa"), sets, "b", "a", "sb")
     with small_batches(spark, 500):
         links = stored(both.select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a long, b long").distinct(), "op3-links")
@@ -302,9 +301,9 @@ def _judged(docs: DataFrame, percent: int, trees: int, leaf: int, depth: int, bi
         again = again.unionByName(mixed(at(_blocks(mixed(at(over)), leaf))))
     with small_batches(spark, 2000):
         second = stored(_compare(again.select("node", "rep", "comp"), reps, percent, True).join(first, ["a", "b"], "left_anti"), "op3-pairs2")
-    links2 = _confirmed(second, docs, folded, percent, bits)
+    links2 = None if second.isEmpty() else _confirmed(second, docs, folded, percent, bits)
 
-    roots = labels if links2.isEmpty() else _labels(labels.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(links2))
+    roots = labels if links2 is None or links2.isEmpty() else _labels(labels.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(links2))
     named = folded.join(roots, folded["rep"] == roots["node"], "left").select("set_key", "set_size", "doc_id", F.coalesce("root", "rep").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_set, by_set_at = kept_at(named.join(least, "root").select("set_key", "set_size", "component_id"), "op3-sets-named")
