@@ -7,12 +7,14 @@ Scalable and Robust Set Similarity Join, 2018).
    them, and a second one with the chance that keeps a pair at the threshold alive, and a set goes to the
    child that its minwise token there names. Children are counted before anything wide moves; single sets
    leave, those of up to `leaf` sets are compared exhaustively, larger ones branch on.
-3. Leaves compare one byte of each coordinate. A pair is likely down to six standard deviations below the threshold, so the
-   comparison itself loses about one pair in 10 ** 9 at the threshold, and none that are much closer.
+3. Leaves first compare one byte of each coordinate, then the lowest tokens of sets. A pair is likely down to six standard
+   deviations below the threshold, so the comparison itself loses about one pair in 10 ** 9 at the threshold, and none that
+   are much closer.
 4. What is still larger at `depth` is compared exhaustively in blocks of `leaf`, so no cap loses a pair: all with the
    least set first, then every two blocks that links so far leave in different components.
 5. A leaf first gives a spanning forest of its likely pairs, not all pairs; they are confirmed on full sets.
-   A second look at the leaves gives every likely pair that the confirmed links leave in two components.
+   A second look at the leaves, by lowest tokens, gives every likely pair that the confirmed links leave in two components; sets
+   of up to LOWEST shingles are compared whole there.
 6. Components come from distributed star contraction. Nothing grows on the driver.
 
 Recall: of a pair at the very threshold (0.85) a tree keeps the two together through a branching with the chance of 0.85, more for
@@ -43,6 +45,8 @@ from .components import components
 from .shingles import mix, shingle_sets
 
 COORDS = 128
+#: Tokens that the second look compares: the lowest of a set, all of a set that has no more.
+LOWEST = 192
 #: Standard deviations below the threshold that a pair of signatures may fall before it is not likely.
 SLACK = 6
 #: Pairs of one set that a task joins at once; a set with more is sent to several.
@@ -89,8 +93,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([_set_key(s) for s in sets], pa.binary()),
                 pa.array([None if s is None else s.tobytes() for s in signs], pa.binary()),
                 pa.array([None if s is None else s.astype(np.uint8).tobytes() for s in signs], pa.binary()),
+                pa.array([(s[:LOWEST] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary()),
             ],
-            ["doc_id", "text_key", "n_shingles", "set_key", "sig", "low"],
+            ["doc_id", "text_key", "n_shingles", "set_key", "sig", "low", "least"],
         )
 
 
@@ -130,6 +135,26 @@ def likely(lows: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarra
     return i, j, like[i, j]
 
 
+def likely_by_least(lows: list[np.ndarray], sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """likely() by lowest tokens. Below the lesser of two sketches' ends both are complete: the similarity is exact where the
+    sketches are the whole sets. Tokens that a single sketch has are counted and not laid out."""
+    whole = sizes <= LOWEST
+    ends = np.array([0xFFFFFFFF if w else int(x[-1]) for w, x in zip(whole, lows, strict=True)], np.int64)
+    _, at, often = np.unique(np.concatenate(lows), return_inverse=True, return_counts=True)
+    column, row = np.cumsum(often > 1) - 1, np.repeat(np.arange(len(lows)), [len(x) for x in lows])
+    some = often[at] > 1
+    laid = np.zeros((len(lows), int((often > 1).sum())), np.float32)
+    laid[row[some], column[at[some]]] = 1
+    both = laid @ laid.T
+    upto = np.array([np.searchsorted(x, ends, "right") for x in lows])
+    union = upto + upto.T - both
+    like, share = both / np.maximum(union, 1), percent / 100
+    spread = np.where(whole[:, None] & whole[None, :], 0.01, SLACK * np.sqrt(share * (1 - share) / np.maximum(union, 1)))
+    small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
+    i, j = np.nonzero(np.triu((like >= share - spread) & (100 * small >= percent * large), 1))
+    return i, j, like[i, j]
+
+
 def _find(parent: dict, x: int) -> int:
     while parent.setdefault(x, x) != x:
         parent[x] = parent[parent[x]]
@@ -138,13 +163,16 @@ def _find(parent: dict, x: int) -> int:
 
 
 def _leaf_pairs(percent: int, everything: bool):
-    """For rows node, rep, comp, n_shingles, low sorted by node: likely pairs a < b of different comp in
+    """For rows node, rep, comp, n_shingles, sketch sorted by node: likely pairs a < b of different comp in
     one node. Without `everything`, likeliest first, only those that join what earlier ones leave apart."""
 
     def pairs_of(reps: list, comps: list, sizes: list, lows: list) -> Iterator[tuple[int, int]]:
         if len(reps) < 2 or len(set(comps)) < 2:
             return
-        i, j, n = likely(np.frombuffer(b"".join(lows), np.uint8).reshape(-1, COORDS), np.array(sizes), percent)
+        if everything:
+            i, j, n = likely_by_least([np.frombuffer(x, np.uint32) for x in lows], np.array(sizes), percent)
+        else:
+            i, j, n = likely(np.frombuffer(b"".join(lows), np.uint8).reshape(-1, COORDS), np.array(sizes), percent)
         order = np.argsort(-n, kind="stable")
         parent: dict[int, int] = {}
         for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
@@ -160,7 +188,7 @@ def _leaf_pairs(percent: int, everything: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[list] = [[], [], [], [], []]
         for batch in batches:
-            new = [batch.column(c).to_pylist() for c in ("node", "rep", "comp", "n_shingles", "low")]
+            new = [batch.column(c).to_pylist() for c in ("node", "rep", "comp", "n_shingles", "sketch")]
             rest = [x + y for x, y in zip(rest, new, strict=True)]
             nodes = rest[0]
             cuts = [0, *[k for k in range(1, len(nodes)) if nodes[k] != nodes[k - 1]]]
@@ -234,7 +262,8 @@ def _blocks(over: DataFrame, leaf: int) -> DataFrame:
 
 def _compare(rows: DataFrame, reps: DataFrame, percent: int, everything: bool) -> DataFrame:
     """Likely pairs a, b of rows (node, rep, comp), each once."""
-    wide = rows.join(reps.drop("sig"), "rep").select("node", "rep", "comp", "n_shingles", "low")
+    sketch = reps.select("rep", "n_shingles", F.col("least" if everything else "low").alias("sketch"))
+    wide = rows.join(sketch, "rep").select("node", "rep", "comp", "n_shingles", "sketch")
     near = wide.repartition("node").sortWithinPartitions("node")
     return near.mapInArrow(_leaf_pairs(percent, everything), "a long, b long").distinct()
 
@@ -275,13 +304,13 @@ def _judged(docs: DataFrame, percent: int, trees: int, leaf: int, depth: int, bi
     spark = docs.sparkSession
     mark = scratch_mark()
     with small_batches(spark, 2000):
-        wide, at = kept_at(docs.mapInArrow(_sketch, "doc_id long, text_key binary, n_shingles long, set_key binary, sig binary, low binary"), "op3-wide")
+        wide, at = kept_at(docs.mapInArrow(_sketch, "doc_id long, text_key binary, n_shingles long, set_key binary, sig binary, low binary, least binary"), "op3-wide")
     has_set = "set_key IS NOT NULL AND doc_id IS NOT NULL"
-    one = [F.any_value(c).alias(c) for c in ("n_shingles", "sig", "low")]
+    one = [F.any_value(c).alias(c) for c in ("n_shingles", "sig", "low", "least")]
     folded = wide.where(has_set).groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("set_size"), *one)
     folded, folded_at = kept_at(folded.withColumn("rep", F.expr("conv(hex(substring(set_key, 1, 8)), 16, -10)").cast("long")), "op3-reps")
-    reps = folded.select("rep", "n_shingles", "sig", "low")
-    sketch, sketch_at = kept_at(wide.drop("sig", "low"), "op3-sketch")
+    reps = folded.select("rep", "n_shingles", "sig", "low", "least")
+    sketch, sketch_at = kept_at(wide.drop("sig", "low", "least"), "op3-sketch")
     drop(spark, at)
 
     leaves, over = _leaves(reps, trees, leaf, depth, percent)
