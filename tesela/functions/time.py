@@ -11,6 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Layouts besides ISO ones, without a weekday before them.
+LAYOUTS = ("MMM d HH:mm:ss Z yyyy", "d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy")
+
+
 @dataclass(frozen=True)
 class Period:
     """[start, end); an open end only in the last one."""
@@ -38,8 +42,10 @@ def checked(periods: Sequence[Period]) -> list[Period]:
 
 
 def utc(x: Column) -> Column:
-    """A timestamp from text of mixed layouts, in UTC; null where it cannot be read."""
-    return x.try_cast("timestamp")
+    """A timestamp from text of mixed layouts, in UTC where it names no zone: ISO dates and times, month/day/year, and dates with the
+    name of the month before or after the day; null where it cannot be read."""
+    bare = F.regexp_replace(F.trim(x.cast("string")), r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,?\s+", "")
+    return F.coalesce(x.try_cast("timestamp"), *[F.try_to_timestamp(bare, F.lit(f)) for f in LAYOUTS])
 
 
 def zone(name: str) -> str:

@@ -77,26 +77,33 @@ def top_failures(log: DataFrame, k: int = 5, prefix: int = 110) -> DataFrame:
 
 def failure_streaks(log: DataFrame, least: int = 2, by: str | None = None) -> DataFrame:
     """Maximal runs of `least` or more records in no result state: first, last and length, in the order of seq inside
-    each value of `by`. Without `by` the log is one sequence; its runs are found inside ranges of seq and joined at their
-    ends, so no task gets the whole log."""
-    if by:
-        w = Window.partitionBy(by).orderBy("seq")
-        islands = log.select(by, "seq", is_result().alias("good")).withColumn("island", F.sum(F.col("good").cast("long")).over(w))
-        runs = islands.where("NOT good").groupBy(by, "island").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.count("*").alias("length"))
-        return runs.where(F.col("length") >= least).drop("island")
-    size = 1 << 16
-    chunk = F.floor(F.col("seq") / size).alias("chunk")
-    w = Window.partitionBy("chunk").orderBy("seq")
-    rows = log.select("seq", chunk, is_result().alias("good")).withColumn("island", F.sum(F.col("good").cast("long")).over(w))
-    parts = rows.groupBy("chunk", "island").agg(F.min(F.when(~F.col("good"), F.col("seq"))).alias("f"), F.max(F.when(~F.col("good"), F.col("seq"))).alias("l"), F.count_if(~F.col("good")).alias("n"), F.max("good").alias("has_good"))
-    ends = Window.partitionBy("chunk")
+    each value of `by`, or over the whole log."""
+    return _streaks(log.select(*([by] if by else []), "seq", is_result().alias("good")), least, [by] if by else [])
+
+
+def row_streaks(log: DataFrame, least: int = 2) -> DataFrame:
+    """Runs of `least` or more rows (tweets) whose records all failed, in the order of their last records. Any result of a row
+    ends a run; this is what the circuit breaker counts."""
+    rows = log.groupBy("tweet_id").agg(F.max("seq").alias("seq"), F.max(is_result()).alias("good"))
+    return _streaks(rows.select("seq", "good"), least, [])
+
+
+def _streaks(rows: DataFrame, least: int, by: list[str]) -> DataFrame:
+    """Runs of rows (by, seq, good) that are not good. They are found inside ranges of seq and joined at their
+    ends, so no task gets all rows of a sequence; about 65,536 ranges of a sequence at most, two ends each, are ordered as a whole."""
+    low, high = rows.agg(F.min("seq"), F.max("seq")).first()
+    size = max(1 << 16, ((high or 0) - (low or 0)) >> 16)
+    w = Window.partitionBy(*by, "chunk").orderBy("seq")
+    islands = rows.withColumn("chunk", F.floor(F.col("seq") / F.lit(size))).withColumn("island", F.sum(F.col("good").cast("long")).over(w))
+    bad = F.when(~F.col("good"), F.col("seq"))
+    parts = islands.groupBy(*by, "chunk", "island").agg(F.min(bad).alias("f"), F.max(bad).alias("l"), F.count_if(~F.col("good")).alias("n"), F.max("good").alias("has_good"))
+    ends = Window.partitionBy(*by, "chunk")
     parts = parts.withColumn("edge", (F.col("island") == F.min("island").over(ends)) | (F.col("island") == F.max("island").over(ends)))
-    inner = parts.where("NOT edge AND n > 0").select(F.col("f").alias("first_seq"), F.col("l").alias("last_seq"), F.col("n").alias("length"))
+    inner = parts.where("NOT edge AND n > 0").select(*by, F.col("f").alias("first_seq"), F.col("l").alias("last_seq"), F.col("n").alias("length"))
     # A part opens with a good record unless it is its chunk's first; so a part without one goes on from the part before.
-    # Two parts a chunk at most are ordered as a whole.
-    order = Window.orderBy("chunk", "island")
+    order = Window.partitionBy(*by).orderBy("chunk", "island")
     joined = parts.where("edge").withColumn("run", F.sum(F.col("has_good").cast("long")).over(order)).where("n > 0")
-    outer = joined.groupBy("run").agg(F.min("f").alias("first_seq"), F.max("l").alias("last_seq"), F.sum("n").alias("length")).drop("run")
+    outer = joined.groupBy(*by, "run").agg(F.min("f").alias("first_seq"), F.max("l").alias("last_seq"), F.sum("n").alias("length")).drop("run")
     return inner.unionByName(outer).where(F.col("length") >= least)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import lost, unmangled
 
@@ -25,10 +26,21 @@ FIELDS: tuple[tuple[str, str, str], ...] = (
 REPORTED = ("text", "author_name", "author_location", "author_description")
 
 
-def field(doc: Column, path: str, kind: str) -> Column:
-    """A value of the document as the text that a repaired row holds."""
-    got = F.get_json_object(doc, path)
-    got = F.coalesce(got, F.lit("[]" if kind[0] == "J" else ""))
+def _schema(paths: list[list[str]]) -> T.StructType:
+    """Strings at the ends of paths; a string of an object or list is its JSON."""
+    heads = dict.fromkeys(p[0] for p in paths)
+    rest = {h: [p[1:] for p in paths if p[0] == h and len(p) > 1] for h in heads}
+    return T.StructType([T.StructField(h, _schema(rest[h]) if rest[h] else T.StringType()) for h in heads])
+
+
+def parsed(doc: Column, columns: list[str]) -> Column:
+    """The document as a struct with what the columns take from it; parsed once for all of them."""
+    return F.from_json(doc, _schema([path[2:].split(".") for name, path, _ in FIELDS if name in columns] or [["id"]]))
+
+
+def field(doc: str, path: str, kind: str) -> Column:
+    """A value of the parsed document as the text that a repaired row holds."""
+    got = F.coalesce(F.col(f"{doc}.{path[2:]}"), F.lit("[]" if kind[0] == "J" else ""))
     if kind[0] == "t":
         got = F.replace(got, F.lit(".000Z"), F.lit(""))
     elif kind[0] == "b":
@@ -46,8 +58,8 @@ def repaired(src: DataFrame, raw_col: str = "raw_json") -> DataFrame:
     """src with every column that the document carries taken from it, text repaired both before and after parsing; other
     columns and the order of columns stay."""
     doc = unmangled(F.col(raw_col))
-    wide = src.withColumn("__doc", doc)
-    new = {name: field(F.col("__doc"), path, kind) for name, path, kind in FIELDS if name in src.columns}
+    wide = src.withColumn("__doc", doc).withColumn("__parsed", parsed(F.col("__doc"), src.columns))
+    new = {name: field("__parsed", path, kind) for name, path, kind in FIELDS if name in src.columns}
     return wide.select(*[new[c].alias(c) if c in new else F.col("__doc").alias(c) if c == raw_col else F.coalesce(F.col(c), F.lit("")).alias(c) for c in src.columns])
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import safe_text, truthy
+from ..functions.text import safe_text, strip, truthy
 
 # The notices of a payload.
 NOTICES = {
@@ -30,7 +30,7 @@ def filters(df: DataFrame, langs: Sequence[str] = (), query_types: Sequence[str]
     if query_types and type_col in df.columns:
         out.append(("type", F.coalesce(F.col(type_col).isin(*query_types), F.lit(False))))
     if text_col in df.columns:
-        out.append(("blank", safe_text(F.col(text_col)) != ""))
+        out.append(("blank", strip(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) != ""))
     return out
 
 
@@ -58,6 +58,16 @@ def sample(df: DataFrame, n: int, seed: int, id_col: str = "id") -> DataFrame:
     return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string"))), id_col).limit(n)
 
 
+#: What secondary samples add to the seed of a profile, so that they do not repeat the rows of the main sample.
+OFFSETS = {"main": 0, "cost": 0, "tokens": 0, "retest": 1, "calibration": 2, "gold": 3}
+SIZES = {"cost": 15, "tokens": 60}
+
+
+def sample_for(df: DataFrame, purpose: str, seed: int, n: int | None = None, id_col: str = "id") -> DataFrame:
+    """The sample of a purpose (cost, tokens, retest, calibration, gold) for a profile's seed."""
+    return sample(df, SIZES[purpose] if n is None else n, seed + OFFSETS[purpose], id_col)
+
+
 def by_ids(df: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
     """The rows of an id list, past all filters."""
     wanted = ids.select(F.col(ids.columns[0]).cast("string").alias("__id"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from ..functions.time import Period, local_day, period_of
+from ..functions.time import Period, local_day, period_of, utc
 
 NO_LANG = "(sin idioma)"
 CUBE = ["fecha", "slug", "clase", "nivel", "idioma", "autosuficiente"]
@@ -46,18 +46,31 @@ def prepare(ratings: DataFrame, corpus: DataFrame, ts_col: str, zone: str, perio
     rated = ratings.withColumn("tweet_id", strip(F.col("tweet_id")))
     rated = rated.drop(*[c for c in keep if c in rated.columns])
     joined = rated.join(one, "tweet_id")
-    day = local_day(F.col(ts_col).try_cast("timestamp"), zone)
+    day = local_day(utc(F.col(ts_col)), zone)
     lang = F.coalesce(F.nullif(strip(F.col(lang_col)), F.lit("")), F.lit(NO_LANG))
     out = joined.withColumn("dia", day).where(F.col("dia").isNotNull())
     return out.withColumns({"fecha": F.date_format("dia", "yyyy-MM-dd"), "idioma": lang, "autosuficiente": F.coalesce("contexto_incompleto", F.lit("")) == "", "periodo": period_of(F.col("dia"), periods)})
 
 
-def prepare_report(ready: DataFrame, umbral: int = 30) -> DataFrame:
-    """ratings, tweets, days, first and last day, share of incomplete context, ratings outside all periods, low coverage."""
-    return ready.agg(
+def prepare_report(ready: DataFrame, ratings: DataFrame, corpus: DataFrame, umbral: int = 30, id_col: str = "id") -> DataFrame:
+    """One row: ratings, tweets, days, first and last day, share of incomplete context and ratings outside all periods of ready; tweets a day,
+    and whether they are too few; ratings and tweets that the corpus lacks, whether it lacks all, and ratings of unreadable dates."""
+    ids = corpus.select(strip(F.col(id_col).cast("string")).alias("__id")).distinct()
+    rated = ratings.select(strip(F.col("tweet_id")).alias("tweet_id"))
+    lacking = F.col("__id").isNull()
+    seen = rated.join(ids, rated["tweet_id"] == ids["__id"], "left").agg(
+        F.count("*").alias("all"), F.countDistinct("tweet_id").alias("tweets"), F.count_if(lacking).alias("orphans"), F.countDistinct(F.when(lacking, F.col("tweet_id"))).alias("orphan_tweets")
+    )
+    g = ready.agg(
         F.count("*").alias("ratings"), F.countDistinct("tweet_id").alias("tweets"), F.countDistinct("dia").alias("days"), F.min("fecha").alias("first_day"), F.max("fecha").alias("last_day"),
         F.round(F.count_if(~F.col("autosuficiente")) / F.greatest(F.count("*"), F.lit(1)), 6).alias("incomplete"), F.count_if(F.col("periodo").isNull()).alias("outside"),
-        (F.countDistinct("tweet_id") < umbral).alias("low_coverage"),
+    )
+    g = g.withColumn("__s", seen.select(F.struct("*").alias("s")).scalar())
+    per_day = F.col("tweets") / F.greatest("days", F.lit(1))
+    return g.select(
+        "ratings", "tweets", "days", "first_day", "last_day", "incomplete", "outside", F.round(per_day, 1).alias("per_day"), (per_day < umbral).alias("low_coverage"),
+        F.col("__s.orphans").alias("orphans"), F.col("__s.orphan_tweets").alias("orphan_tweets"), ((F.col("__s.orphan_tweets") > 0) & (F.col("__s.orphan_tweets") == F.col("__s.tweets"))).alias("no_match"),
+        (F.col("__s.all") - F.col("__s.orphans") - F.col("ratings")).alias("unreadable"),
     )
 
 
@@ -78,10 +91,12 @@ def languages(ready: DataFrame) -> DataFrame:
     return ready.groupBy("idioma").agg(F.countDistinct("tweet_id").alias("tweets")).orderBy(F.desc("tweets"), "idioma")
 
 
-def by_period(ready: DataFrame) -> DataFrame:
-    """Days, tweets and tweets per day of each period."""
+def by_period(ready: DataFrame, periods: Sequence[Period]) -> DataFrame:
+    """Days, tweets and tweets per day of every period, 0 where there are none."""
+    names = ready.sparkSession.createDataFrame([(p.name,) for p in periods], "periodo string")
     g = ready.where("periodo IS NOT NULL").groupBy("periodo").agg(F.countDistinct("fecha").alias("days"), F.countDistinct("tweet_id").alias("tweets"))
-    return g.withColumn("per_day", F.round(F.col("tweets") / F.greatest("days", F.lit(1)), 1))
+    full = names.join(g, "periodo", "left").select("periodo", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("days", "tweets")])
+    return full.withColumn("per_day", F.round(F.col("tweets") / F.greatest("days", F.lit(1)), 1))
 
 
 def class_totals(c: DataFrame) -> DataFrame:
@@ -126,10 +141,17 @@ def smoothed(s: DataFrame, window: int = 7, value: str = "salience") -> DataFram
     return full.withColumn("smoothed", F.round(F.avg(value).over(w), 6))
 
 
-def daily_levels(c: DataFrame) -> DataFrame:
-    """fecha, slug, nivel, n, share of the day's valence."""
-    g = c.where("clase = 'valencia'").groupBy("fecha", "slug", "nivel").agg(F.sum("n").alias("n"))
-    return g.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("fecha", "slug")), 6))
+def daily_levels(c: DataFrame, levels: dict[str, Sequence[str]]) -> DataFrame:
+    """fecha, slug, nivel, n, share of the day's valence for every date and every level of the rubric. A day on which a criterion has
+    nothing is null and not 0; so is the share of a day without valence."""
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("slug"), F.lit(x).alias("nivel")) for s, names in levels.items() for x in names])).alias("l")
+    grid = c.select("fecha").distinct().select("fecha", each).select("fecha", "l.slug", "l.nivel")
+    g = c.groupBy("fecha", "slug", F.when(F.col("clase") == "valencia", F.col("nivel")).alias("nivel")).agg(F.sum("n").alias("n"))
+    some = g.select("fecha", "slug").distinct().withColumn("__some", F.lit(True))
+    full = grid.join(g, ["fecha", "slug", "nivel"], "left").join(some, ["fecha", "slug"], "left")
+    full = full.withColumn("n", F.when(F.col("__some"), F.coalesce("n", F.lit(0))).cast("long")).drop("__some")
+    total = F.sum("n").over(Window.partitionBy("fecha", "slug"))
+    return full.withColumn("share", F.round(F.try_divide("n", total), 6))
 
 
 def level_distribution(c: DataFrame, by: Sequence[str] = ()) -> DataFrame:

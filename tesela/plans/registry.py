@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions import time
+from ..functions.time import Period
 from ..operators import export, keys, log, quality, repair, rubric, scoring, select, temporal, translate
+from ..sources import logs
 from . import views as V
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +103,26 @@ def _(spark, d):
     return log.failure_streaks(V.log(spark, d), by="slug")
 
 
+@query("ckpt_row_streaks", f"""WITH {V.LOG_SQL}, r AS (SELECT tweet_id, max(seq) AS seq, bool_or(estado IN {_RES}) AS good FROM ckpt GROUP BY tweet_id), g AS (SELECT seq, good, sum(good::INT) OVER (ORDER BY seq) AS island FROM r)
+SELECT min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS length FROM g WHERE NOT good GROUP BY island HAVING count(*) >= 1""")
+def _(spark, d):
+    return log.row_streaks(V.log(spark, d), 1)
+
+
+@query("ckpt_unreadable", "SELECT count(*) FILTER (event_id % 13 = 0 OR event_id % 11 = 0) AS unreadable, count(*) FILTER (event_id % 13 <> 0 AND event_id % 11 <> 0) AS readable FROM events")
+def _(spark, d):
+    rows = V.log(spark, d).drop("ts")
+    whole = F.to_json(F.struct(*[F.col(c) if c != "slug" else F.when(F.col("seq") % 11 != 0, F.col("slug")).alias("slug") for c in rows.columns]))
+    lines = rows.select(F.when(F.col("seq") % 13 == 0, F.substring(whole, 1, 20)).otherwise(whole).alias("value"))
+    lines = lines.unionByName(lines.limit(3).select(F.lit("  ").alias("value")))
+    return logs.judged_lines(lines).agg(F.count_if(~F.col("readable")).alias("unreadable"), F.count_if("readable").alias("readable"))
+
+
+@query("ckpt_run_totals", f"WITH {V.LOG_SQL} SELECT count(*) FILTER (estado IN {_RES}) AS ok, count(*) FILTER (estado NOT IN {_RES}) AS failed, (SELECT count(*) FROM documents) * {len(V.SLUGS)} - count(*) AS reused FROM ckpt WHERE seq % 3 = 0")
+def _(spark, d):
+    return scoring.run_totals(V.log(spark, d).where("seq % 3 = 0"), V.corpus(spark, d).count() * len(V.SLUGS))
+
+
 @query("ckpt_failure_classify", f"""WITH {V.LOG_SQL} SELECT seq, CASE WHEN lower(detalle) LIKE '%api key not valid%' THEN 'PERMANENTE' WHEN lower(detalle) LIKE '%safety%' OR lower(detalle) LIKE '%blocked%' THEN 'BLOQUEADO'
 WHEN lower(detalle) LIKE '%429%' OR lower(detalle) LIKE '%resource_exhausted%' THEN 'LIMITE_TASA' WHEN lower(detalle) LIKE '%503%' OR lower(detalle) LIKE '%unavailable%' THEN 'ERROR_SERVIDOR' ELSE 'ERROR' END AS clase FROM ckpt WHERE detalle <> ''""")
 def _(spark, d):
@@ -221,6 +245,11 @@ def _(spark, d):
     return s.select("id", F.array_join(select.marks(s), ";").alias("contexto_incompleto"))
 
 
+@query("payload_report", f"WITH {V.SEL_SQL}, m AS (SELECT *, {_MARKS} AS contexto_incompleto FROM sel) SELECT count(*) AS rows, count(*) FILTER (contexto_incompleto <> '') AS incomplete, count(*) FILTER (trad IS NOT NULL) AS translated FROM m")
+def _(spark, d):
+    return select.payload_report(select.payload(V.selection(spark, d)))
+
+
 @query("payload_build", f"""WITH {V.SEL_SQL}, m AS (SELECT *, {_MARKS} AS contexto_incompleto FROM sel)
 SELECT id, contexto_incompleto, concat_ws(chr(10) || chr(10),
  CASE WHEN contexto_incompleto <> '' THEN '{select.NOTICE_HEAD}' || concat_ws(' ', CASE WHEN contains(contexto_incompleto, 'reply') THEN '{select.NOTICES["reply"]}' END, CASE WHEN contains(contexto_incompleto, 'retweet') THEN '{select.NOTICES["retweet"]}' END, CASE WHEN contains(contexto_incompleto, 'quote') THEN '{select.NOTICES["quote"]}' END) END,
@@ -260,13 +289,31 @@ def _stub(payload: str, slug: str, instruction: str) -> dict:
     return {"aplicable": n % 3 > 0, "nivel": str(n % 7), "justificacion": "stub"}
 
 
+def _no_wait(attempt: int) -> None:
+    """The stub needs no rest."""
+
+
 @query("score_run_stub", f"""WITH {V.SEL_SQL}, w AS (SELECT id AS tweet_id, slug, length(text_completo) AS n FROM sel, (SELECT unnest({list(V.SLUGS)}) AS slug))
 SELECT tweet_id, slug, n % 11 <> 0 AND n % 3 > 0 AS aplicable, CASE WHEN n % 11 <> 0 AND n % 3 > 0 AND n % 7 < 6 THEN (n % 7)::VARCHAR END AS nivel, CASE WHEN n % 11 <> 0 AND n % 3 > 0 AND n % 7 < 6 THEN (n % 7)::DOUBLE END AS puntaje,
 CASE WHEN n % 11 = 0 THEN 'ERROR_SERVIDOR' WHEN n % 3 = 0 THEN 'NO_APLICABLE' WHEN n % 7 = 6 THEN 'FUERA_DE_ESCALA' ELSE 'OK' END AS estado FROM w""")
 def _(spark, d):
     s = V.selection(spark, d).select(F.col("id").alias("tweet_id"), F.col("text_completo").alias("_payload"), F.lit("").alias("contexto_incompleto"))
     work = s.select("*", F.explode(F.array(*[F.lit(x) for x in V.SLUGS])).alias("slug"))
-    return scoring.score(work, _INSTRUCTIONS, [_stub], rubric.levels(spark, V.rubric())).select("tweet_id", "slug", "aplicable", "nivel", "puntaje", "estado")
+    return scoring.score(work, _INSTRUCTIONS, [_stub], rubric.levels(spark, V.rubric()), wait=_no_wait).select("tweet_id", "slug", "aplicable", "nivel", "puntaje", "estado")
+
+
+def _blocked(payload: str, slug: str, instruction: str) -> dict:
+    raise RuntimeError("response blocked" if len(payload) % 2 else "429 quota")
+
+
+@query("score_run_fallback", f"""WITH {V.SEL_SQL}, w AS (SELECT id AS tweet_id, length(text_completo) AS n FROM sel)
+SELECT tweet_id, 'click' AS slug, CASE WHEN n % 11 = 0 THEN 'ERROR_SERVIDOR' WHEN n % 3 = 0 THEN 'NO_APLICABLE' WHEN n % 7 = 6 THEN 'FUERA_DE_ESCALA' ELSE 'OK' END AS estado,
+CASE WHEN n % 11 = 0 THEN 'respaldo directo: RuntimeError: 503 UNAVAILABLE' ELSE CASE WHEN n % 3 > 0 AND n % 7 = 6 THEN 'nivel devuelto ''6'' no está en la escala del criterio' ELSE '' END || ' (resuelto por respaldo directo)' END AS detalle,
+CASE WHEN n % 11 = 0 THEN '' ELSE 'stub' END AS justificacion FROM w""")
+def _(spark, d):
+    work = V.selection(spark, d).select(F.col("id").alias("tweet_id"), F.col("text_completo").alias("_payload"), F.lit("").alias("contexto_incompleto"), F.lit("click").alias("slug"))
+    got = scoring.score(work, _INSTRUCTIONS, [_blocked, _stub], rubric.levels(spark, V.rubric()), wait=_no_wait)
+    return got.select("tweet_id", "slug", "estado", "detalle", "justificacion")
 
 
 # ----------------------------------------------------------------------------------- translation
@@ -282,9 +329,20 @@ def _(spark, d):
     return translate.merged(V.corpus(spark, d), V.translations(spark, d)).select("id", F.col("traducción").alias("traduccion"))
 
 
-@query("translate_fill_report", f"WITH {V.TR_SQL} SELECT count(*) FILTER (estado = 'OK' AND NOT ya_esta_en_espanol) AS translated, count(*) FILTER (estado = 'OK' AND ya_esta_en_espanol) AS copied, count(*) FILTER (estado <> 'OK') AS failed FROM last")
+_OLD = "CASE WHEN CAST(id AS BIGINT) % 4 = 0 THEN 'vieja' ELSE '' END"
+
+
+@query("translate_fill_report", f"""WITH {V.TR_SQL}, c AS (SELECT id, {_OLD} AS old, trim(text_completo) <> '' AS has_text FROM corpus), j AS (SELECT c.*, estado, ya_esta_en_espanol FROM c LEFT JOIN last ON id = tweet_id), t AS (SELECT *, has_text AND old = '' AS target FROM j)
+SELECT count(*) AS rows, count(*) FILTER (target AND estado = 'OK' AND NOT ya_esta_en_espanol) AS translated, count(*) FILTER (target AND estado = 'OK' AND ya_esta_en_espanol) AS copied, count(*) FILTER (target AND estado <> 'OK') AS failed,
+count(*) FILTER (old <> '' OR (target AND estado = 'OK')) AS filled FROM t""")
+def _(spark, d):
+    return translate.fill_report(V.corpus(spark, d).withColumn("traducción", F.expr(_OLD)), V.translations(spark, d))
+
+
+@query("translate_again", f"""WITH {V.TR_SQL} SELECT id, CASE WHEN trim(text_completo) = '' OR coalesce(estado <> 'OK', TRUE) THEN {_OLD} WHEN ya_esta_en_espanol THEN text_completo ELSE traduccion END AS traduccion FROM corpus LEFT JOIN last ON id = tweet_id""")
 def _(spark, d):
-    return translate.fill_report(V.translations(spark, d))
+    got = translate.merged(V.corpus(spark, d).withColumn("traducción", F.expr(_OLD)), V.translations(spark, d), again=True)
+    return got.select("id", F.col("traducción").alias("traduccion"))
 
 
 @query("tokens_preserved", r"""WITH t AS (SELECT doc_id::VARCHAR AS id, list_distinct(regexp_extract_all(text, 'https?://\S+|[@#][\p{L}\p{N}\p{M}_]+')) AS o, regexp_extract_all(replace(replace(text, '@', ''), 'http', 'h'), 'https?://\S+|[@#][\p{L}\p{N}\p{M}_]+') AS n FROM documents)
@@ -389,9 +447,23 @@ def _(spark, d):
     return _cube(spark, d)
 
 
-@query("viz_prepare_report", f"WITH {V.READY_SQL} SELECT count(*) AS ratings, count(DISTINCT tweet_id) AS tweets, count(DISTINCT dia) AS days, min(fecha) AS first_day, max(fecha) AS last_day, round(count(*) FILTER (NOT autosuficiente) / greatest(count(*), 1), 6) AS incomplete, count(*) FILTER (periodo IS NULL) AS outside, count(DISTINCT tweet_id) < 30 AS low_coverage FROM ready")
+@query("viz_prepare_report", f"""WITH {V.READY_SQL}, o AS (SELECT count(*) AS orphans, count(DISTINCT tweet_id) AS orphan_tweets FROM res WHERE tweet_id NOT IN (SELECT id FROM corpus)),
+g AS (SELECT count(*) AS ratings, count(DISTINCT tweet_id) AS tweets, count(DISTINCT dia) AS days, min(fecha) AS first_day, max(fecha) AS last_day, round(count(*) FILTER (NOT autosuficiente) / greatest(count(*), 1), 6) AS incomplete, count(*) FILTER (periodo IS NULL) AS outside FROM ready)
+SELECT g.*, round(tweets / greatest(days, 1), 1) AS per_day, tweets / greatest(days, 1) < 30 AS low_coverage, orphans, orphan_tweets, orphan_tweets > 0 AND orphan_tweets = (SELECT count(DISTINCT tweet_id) FROM res) AS no_match, 0::BIGINT AS unreadable FROM g, o""")
 def _(spark, d):
-    return temporal.prepare_report(_ready(spark, d))
+    return temporal.prepare_report(_ready(spark, d), _resolved(spark, d), V.corpus(spark, d))
+
+
+_FORMATS = {"iso": "yyyy-MM-dd'T'HH:mm:ss", "plain": "yyyy-MM-dd H:mm:ss", "api": "E MMM dd HH:mm:ss +0000 yyyy", "us": "M/d/yyyy H:mm"}
+
+
+@query("time_mixed_layouts", "SELECT event_id, CASE event_id % 5 WHEN 4 THEN NULL WHEN 3 THEN epoch(date_trunc('minute', ts))::BIGINT ELSE epoch(date_trunc('second', ts))::BIGINT END AS seconds FROM events")
+def _(spark, d):
+    ts = F.col("ts").cast("timestamp")
+    text = F.lit("sin fecha")
+    for k, f in enumerate(_FORMATS.values()):
+        text = F.when(F.col("event_id") % 5 == k, F.date_format(ts, f.replace("+0000", "'+0000'"))).otherwise(text)
+    return V.read(spark, d, "events").select("event_id", F.unix_timestamp(time.utc(text)).alias("seconds"))
 
 
 @query("viz_volume", f"WITH {V.READY_SQL} SELECT fecha, idioma, autosuficiente, count(DISTINCT tweet_id) AS n FROM ready GROUP BY ALL")
@@ -404,9 +476,14 @@ def _(spark, d):
     return temporal.languages(_ready(spark, d))
 
 
-@query("viz_periods", f"WITH {V.READY_SQL}, g AS (SELECT periodo, count(DISTINCT fecha) AS days, count(DISTINCT tweet_id) AS tweets FROM ready WHERE periodo IS NOT NULL GROUP BY periodo) SELECT *, round(tweets / greatest(days, 1), 1) AS per_day FROM g")
+_PERIODS = (*V.PERIODS[:2], Period("vacío", date(2030, 1, 1), date(2030, 2, 1)), Period("abierto", date(2031, 1, 1)))
+
+
+@query("viz_periods", f"""WITH {V.READY_SQL}, p AS (SELECT CASE WHEN periodo <> 'despues' THEN periodo END AS periodo, fecha, tweet_id FROM ready), g AS (SELECT periodo, count(DISTINCT fecha) AS days, count(DISTINCT tweet_id) AS tweets FROM p GROUP BY periodo)
+SELECT n.periodo, coalesce(days, 0) AS days, coalesce(tweets, 0) AS tweets, round(coalesce(tweets, 0) / greatest(coalesce(days, 0), 1), 1) AS per_day FROM (SELECT unnest(['antes', 'durante', 'vacío', 'abierto']) AS periodo) n LEFT JOIN g USING (periodo)""")
 def _(spark, d):
-    return temporal.by_period(_ready(spark, d))
+    ready = temporal.prepare(_resolved(spark, d), V.corpus(spark, d), "ts", V.ZONE, _PERIODS, ts_in_corpus=False)
+    return temporal.by_period(ready, _PERIODS)
 
 
 @query("viz_class_totals", f"WITH {V.CUBE_SQL}, g AS (SELECT slug, coalesce(sum(n) FILTER (clase = 'valencia'), 0)::BIGINT AS valencia, coalesce(sum(n) FILTER (clase = 'ausencia'), 0)::BIGINT AS ausencia, coalesce(sum(n) FILTER (clase = 'fallida'), 0)::BIGINT AS fallida, sum(n)::BIGINT AS total FROM cube GROUP BY slug) SELECT *, round(valencia / total, 6) AS share_valencia, round(ausencia / total, 6) AS share_ausencia, round(fallida / total, 6) AS share_fallida FROM g")
@@ -439,9 +516,11 @@ def _(spark, d):
     return temporal.smoothed(temporal.salience(temporal.daily(_cube(spark, d), _LEVELS)))
 
 
-@query("viz_daily_share", f"WITH {V.CUBE_SQL}, g AS (SELECT fecha, slug, nivel, sum(n)::BIGINT AS n FROM cube WHERE clase = 'valencia' GROUP BY ALL) SELECT *, round(n / sum(n) OVER (PARTITION BY fecha, slug), 6) AS share FROM g")
+@query("viz_daily_share", f"""WITH {V.CUBE_SQL}, {V.LEVELS_SQL}, x AS (SELECT * FROM cube WHERE NOT (fecha LIKE '%7' AND slug = 'click')), days AS (SELECT DISTINCT fecha FROM x), g AS (SELECT fecha, slug, nivel, sum(n)::BIGINT AS n FROM x WHERE clase = 'valencia' GROUP BY ALL), seen AS (SELECT DISTINCT fecha, slug, TRUE AS here FROM x),
+f AS (SELECT fecha, slug, nivel, CASE WHEN here THEN coalesce(n, 0) END::BIGINT AS n FROM (SELECT fecha, slug, nivel FROM days, levels) LEFT JOIN g USING (fecha, slug, nivel) LEFT JOIN seen USING (fecha, slug))
+SELECT *, round(n / nullif(sum(n) OVER (PARTITION BY fecha, slug), 0), 6) AS share FROM f""")
 def _(spark, d):
-    return temporal.daily_levels(_cube(spark, d))
+    return temporal.daily_levels(_cube(spark, d).where("NOT (fecha LIKE '%7' AND slug = 'click')"), _LEVELS)
 
 
 @query("viz_dist_global", f"WITH {V.CUBE_SQL}, g AS (SELECT slug, nivel, sum(n)::BIGINT AS n FROM cube WHERE clase = 'valencia' GROUP BY ALL) SELECT *, round(n / sum(n) OVER (PARTITION BY slug), 6) AS share FROM g")

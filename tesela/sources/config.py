@@ -52,6 +52,11 @@ class Config:
     periods: tuple = ()
     smoothing: int = 7
     small_sample: int = 30
+    coverage: int = 30
+    call_timeout: float = 90.0
+    most_wait: float = 30.0
+    again: bool = False
+    translation_calls: int = 8
 
     def corpus_to_score(self) -> str:
         return self.translated if self.translated and Path(self.translated).exists() else self.repaired or self.corpus

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-
-SNIFFED = 1 << 20
+from ..functions.text import CP1252, strip
 
 
 def require(spark: SparkSession, path: str, what: str, made_by: str | None = None) -> str:
@@ -18,32 +19,28 @@ def require(spark: SparkSession, path: str, what: str, made_by: str | None = Non
     return path
 
 
-def encoding_of(spark: SparkSession, path: str) -> str:
-    """UTF-8 if the first files' beginning is, else the single-byte encoding that Spark reads."""
-    heads = spark.read.format("binaryFile").load(path).selectExpr(f"substring(content, 1, {SNIFFED}) AS head").limit(4).collect()
-    for row in heads:
-        head = bytes(row["head"])
-        try:
-            head[: len(head) - 3 if len(head) == SNIFFED else None].decode("utf-8")
-        except UnicodeDecodeError:
-            return "ISO-8859-1"
-    return "UTF-8"
+def encodings(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files of a path by encoding: UTF-8 if all their lines are, else the single-byte encoding that Spark reads. Lines are looked at by
+    the executors; the names of files come to the driver."""
+    valid = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.bool_and(F.is_valid_utf8("value")).alias("ok")).orderBy("file").collect()
+    return {e: [unquote(r["file"]) for r in valid if r["ok"] == ok] for e, ok in (("UTF-8", True), ("ISO-8859-1", False))}
 
 
-def read_table(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """A table by its suffix, all strings. A cell of code page 1252 keeps its characters."""
+def read_table(spark: SparkSession, path: str, encoding: str | None = None, multi_line: bool = True) -> DataFrame:
+    """A table by its suffix, all strings. Each file has the encoding that all of it is in; a cell of code page 1252 keeps its
+    characters. multi_line: cells may hold line ends, so a file is one task; without, large files are split."""
     low = path.lower()
     if low.endswith((".xlsx", ".xlsm", ".xls")):
         return read_spreadsheet(spark, path)
     sep = "\t" if low.endswith(".tsv") else ","
-    encoding = encoding or encoding_of(spark, path)
-    df = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"', sep=sep, encoding=encoding)
-    if encoding == "ISO-8859-1":
-        from ..functions.text import CP1252
-
-        src, dst = "".join(chr(b) for b in CP1252.values()), "".join(CP1252)
-        df = df.selectExpr(*[f"translate(`{c}`, '{src}', '{dst}') AS `{c}`" for c in df.columns])
-    return df
+    found = {encoding: [path]} if encoding else encodings(spark, path)
+    read = lambda files, e: spark.read.csv(files, header=True, inferSchema=False, multiLine=multi_line, quote='"', escape='"', sep=sep, encoding=e)
+    if not found.get("ISO-8859-1"):
+        return read(path, encoding or "UTF-8")
+    old = read(found["ISO-8859-1"], "ISO-8859-1")
+    src, dst = "".join(chr(b) for b in CP1252.values()), "".join(CP1252)
+    old = old.select(*[F.translate(F.col(f"`{c}`"), src, dst).alias(c) for c in old.columns])
+    return read(found["UTF-8"], "UTF-8").unionByName(old, allowMissingColumns=True) if found.get("UTF-8") else old
 
 
 def read_spreadsheet(spark: SparkSession, path: str) -> DataFrame:
@@ -78,8 +75,4 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from ..functions.text import strip
-
     return read_table(spark, path).where(strip(F.coalesce("nivel_humano", F.lit(""))) != "")
