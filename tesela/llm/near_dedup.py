@@ -3,8 +3,8 @@ Scalable and Robust Set Similarity Join, 2018).
 
 1. One scan shingles each whole text and takes a one-permutation MinHash signature from the sorted hashes.
    Documents with one and the same set fold into a node, named by a hash of the set.
-2. `trees` independent trees branch the nodes: each tree has coordinates of the signature of its own. A branch picks one of
-   them, and a second one with the chance that keeps a pair at the threshold alive, and a set goes to the
+2. `trees` independent trees branch the nodes: each tree has coordinates of the signature of its own. A branch picks one that
+   its path has not used, and a second one with the chance that keeps a pair at the threshold alive, and a set goes to the
    child that its minwise token there names. Children are counted before anything wide moves; single sets
    leave, those of up to `leaf` sets are compared exhaustively, larger ones branch on.
 3. Leaves first compare one byte of each coordinate, then the lowest tokens of sets. A pair is likely down to six standard
@@ -19,8 +19,8 @@ Scalable and Robust Set Similarity Join, 2018).
 
 Recall: of a pair at the very threshold (0.85) a tree keeps the two together through a branching with the chance of 0.85, more for
 closer ones. With the second coordinate on average one path survives each level, and at least one does through k levels with a
-chance of 0.87, 0.78, 0.70, 0.64, 0.58, 0.54, 0.50, 0.47 for k = 1 .. 8. Nearly all leaves are one or two levels deep, where 16 trees
-miss less than one pair in 10 ** 10; at the full depth of 8 they miss (1 - 0.47) ** 16, four pairs in 100,000, unless other links join it.
+chance of 0.87, 0.78, 0.70, 0.64, 0.58, 0.54 for k = 1 .. 6. Nearly all leaves are one or two levels deep, where 16 trees
+miss less than one pair in 10 ** 10; at the full depth of 6 they miss (1 - 0.54) ** 16, four pairs in a million, unless other links join it.
 
 Hash sets stand for word sets (64 bits a shingle, made of 64-bit hashes of words that nobody can make collide on purpose).
 
@@ -46,7 +46,7 @@ from .shingles import mix, shingle_sets
 
 COORDS = 128
 #: Tokens that the second look compares: the lowest of a set, all of a set that has no more.
-LOWEST = 192
+LOWEST = 384
 #: Standard deviations below the threshold that a pair of signatures may fall before it is not likely.
 SLACK = 6
 #: Pairs of one set that a task joins at once; a set with more is sent to several.
@@ -106,18 +106,21 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _branch(rows: DataFrame, share: float, trees: int) -> DataFrame:
-    """rows: node, tree, rep, sig. Children by one coordinate of the node's choice among those of its tree and, for `share` of
-    the nodes, by a second one."""
+    """rows: node, tree, used, rep, sig. Children by one coordinate of the node's choice among those of its tree that its path has
+    not used and, for `share` of the nodes, by a second one."""
     own = max(1, COORDS // trees)
-    pick = lambda k: ((F.col("tree") * own + F.pmod(F.xxhash64("node", F.lit(k)), F.lit(own).cast("long"))) % COORDS).cast("int")
+    free = F.array_except(F.sequence(F.lit(0), F.lit(own - 1)), "used")
+    rows = rows.withColumn("free", F.when(F.size(free) > 0, free).otherwise(F.sequence(F.lit(0), F.lit(own - 1))))
+    pick = lambda k: F.get("free", F.pmod(F.xxhash64("node", F.lit(k)), F.size("free").cast("long")).cast("int"))
     second = (F.pmod(F.xxhash64("node", F.lit(3)), F.lit(10_000).cast("long")) < int(10_000 * share)) & (pick(1) != pick(2))
     coords = F.when(second, F.array(pick(1), pick(2))).otherwise(F.array(pick(1)))
-    rows = rows.select("node", "tree", "rep", "sig", F.explode(coords).alias("c"))
-    return rows.select(F.xxhash64("node", "c", F.expr("substring(sig, c * 4 + 1, 4)")).alias("node"), "tree", "rep")
+    rows = rows.select("node", "tree", "used", "rep", "sig", F.explode(coords).alias("k"))
+    token = F.expr(f"substring(sig, CAST((tree * {own} + k) % {COORDS} AS INT) * 4 + 1, 4)")
+    return rows.select(F.xxhash64("node", "k", token).alias("node"), "tree", F.concat("used", F.array("k")).alias("used"), "rep")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """rows (node, tree, rep) with the size n of their node; those alone in it are gone."""
+    """rows (node, tree, used, rep) with the size n of their node; those alone in it are gone."""
     sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
     return rows.join(sizes, "node")
 
@@ -227,7 +230,7 @@ def _leaves(reps: DataFrame, trees: int, leaf: int, depth: int, percent: int) ->
     """(node, rep) of the leaves that hold two or more, and (node, rep, n) of nodes still larger at `depth`."""
     share = 100 / percent - 1
     tree = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long")))
-    large = reps.select(tree.alias("tree"), "rep", "sig").select(F.col("tree").alias("node"), "tree", "rep", "sig")
+    large = reps.select(tree.alias("tree"), "rep", "sig").select(F.col("tree").alias("node"), "tree", F.array().cast("array<int>").alias("used"), "rep", "sig")
     done = None
     for level in range(depth):
         rows = _branch(large, share, trees)
@@ -237,7 +240,7 @@ def _leaves(reps: DataFrame, trees: int, leaf: int, depth: int, percent: int) ->
         over = rows.where(F.col("n") > leaf)
         if over.isEmpty():
             return done, None
-        large = over.select("node", "tree", "rep").join(reps.select("rep", "sig"), "rep")
+        large = over.select("node", "tree", "used", "rep").join(reps.select("rep", "sig"), "rep")
     return done, over.select("node", "rep", "n")
 
 
@@ -342,7 +345,7 @@ def _judged(docs: DataFrame, percent: int, trees: int, leaf: int, depth: int, bi
     return found.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, trees: int = 16, leaf: int = 256, depth: int = 8, bitmap_bits: int | None = None) -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, trees: int = 16, leaf: int = 256, depth: int = 6, bitmap_bits: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, set_size (documents with the same shingle set) for every row
     of docs. Linked are documents whose shingle sets have 100 * intersection >= percent * union.
 
@@ -359,7 +362,7 @@ def _text_key(text: Column) -> Column:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """docs with one document of each group of near duplicates, with its own columns. Rows leave by id and text."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), _text_key(F.col(text_col)).alias("text_key"))
-    gone = stored(_judged(rows, percent, 16, 256, 8, None).where("NOT kept").select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).distinct(), "op3-gone")
+    gone = stored(_judged(rows, percent, 16, 256, 6, None).where("NOT kept").select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).distinct(), "op3-gone")
     some, others = suspects(docs, id_col, gone.select("__gone"))
     some = some.withColumn("__own", _text_key(F.col(text_col)))
     return others.unionByName(some.join(gone, (some[id_col] == gone["__gone"]) & (some["__own"] == gone["__key"]), "left_anti").drop("__own"))
