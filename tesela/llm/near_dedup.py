@@ -10,8 +10,8 @@ Scalable and Robust Set Similarity Join, 2018).
 3. Leaves first compare one byte of each coordinate, then the lowest tokens of sets. A pair is likely down to six standard
    deviations below the threshold, so the comparison itself loses about one pair in 10 ** 9 at the threshold, and none that
    are much closer.
-4. What is still larger at `depth` is compared exhaustively in blocks of `leaf`, so no cap loses a pair: all with the
-   least set first, then every two blocks that links so far leave in different components.
+4. What is still larger at `depth`, or is hardly parted by branching, is compared exhaustively in blocks of `leaf`, so no cap
+   loses a pair: all with the least set first, then every two blocks that links so far leave in different components.
 5. A leaf first gives a spanning forest of its likely pairs, not all pairs; they are confirmed on full sets.
    A second look at the leaves, by lowest tokens, gives every likely pair that the confirmed links leave in two components; sets
    of up to LOWEST shingles are compared whole there.
@@ -106,7 +106,7 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _branch(rows: DataFrame, share: float, trees: int) -> DataFrame:
-    """rows: node, tree, used, rep, sig. Children by one coordinate of the node's choice among those of its tree that its path has
+    """rows: node, tree, used, rep, held, sig. Children by one coordinate of the node's choice among those of its tree that its path has
     not used and, for `share` of the nodes, by a second one."""
     own = max(1, COORDS // trees)
     free = F.array_except(F.sequence(F.lit(0), F.lit(own - 1)), "used")
@@ -114,13 +114,13 @@ def _branch(rows: DataFrame, share: float, trees: int) -> DataFrame:
     pick = lambda k: F.get("free", F.pmod(F.xxhash64("node", F.lit(k)), F.size("free").cast("long")).cast("int"))
     second = (F.pmod(F.xxhash64("node", F.lit(3)), F.lit(10_000).cast("long")) < int(10_000 * share)) & (pick(1) != pick(2))
     coords = F.when(second, F.array(pick(1), pick(2))).otherwise(F.array(pick(1)))
-    rows = rows.select("node", "tree", "used", "rep", "sig", F.explode(coords).alias("k"))
+    rows = rows.select("node", "tree", "used", "rep", "held", "sig", F.explode(coords).alias("k"))
     token = F.expr(f"substring(sig, CAST((tree * {own} + k) % {COORDS} AS INT) * 4 + 1, 4)")
-    return rows.select(F.xxhash64("node", "k", token).alias("node"), "tree", F.concat("used", F.array("k")).alias("used"), "rep")
+    return rows.select(F.xxhash64("node", "k", token).alias("node"), "tree", F.concat("used", F.array("k")).alias("used"), "rep", "held")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """rows (node, tree, used, rep) with the size n of their node; those alone in it are gone."""
+    """rows (node, tree, used, rep, held) with the size n of their node; those alone in it are gone."""
     sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
     return rows.join(sizes, "node")
 
@@ -227,26 +227,40 @@ def _confirm(percent: int):
 
 
 def _leaves(reps: DataFrame, trees: int, leaf: int, depth: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
-    """(node, rep) of the leaves that hold two or more, and (node, rep, n) of nodes still larger at `depth`."""
-    share = 100 / percent - 1
+    """(node, rep) of the leaves that hold two or more, and (node, rep) of larger nodes that do not branch on: those at `depth`, and
+    those that lost so few sets in the last branching that another one would make more rows than it saves in blocks.
+
+    Blocks of a node of n sets hold n * n / (leaf / 2) rows. Another branching makes n * reach rows; with the part r of its sets
+    that the node kept of `held` ones before, its children's blocks then hold reach * r * r of those rows."""
+    reach = 100 / percent
+    n, kept = F.col("n"), F.col("n") / F.col("held")
+    idle = F.coalesce(n * (1 - reach * kept * kept) <= reach * max(1, leaf // 2), F.lit(False))
     tree = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long")))
-    large = reps.select(tree.alias("tree"), "rep", "sig").select(F.col("tree").alias("node"), "tree", F.array().cast("array<int>").alias("used"), "rep", "sig")
-    done = None
+    large = reps.select(tree.alias("tree"), "rep", "sig").select(F.col("tree").alias("node"), "tree", F.array().cast("array<int>").alias("used"), "rep", F.lit(None).cast("long").alias("held"), "sig")
+    done = over = None
     for level in range(depth):
-        rows = _branch(large, share, trees)
-        rows = stored(_shared(rows.distinct() if level else rows), f"op3-level{level}")
-        small = rows.where(F.col("n") <= leaf).select("node", "rep")
+        rows, at = _branch(large, reach - 1, trees), None
+        if level:
+            rows, at = kept_at(rows.distinct(), f"op3-paths{level}")
+        rows = stored(_shared(rows), f"op3-level{level}")
+        if at:
+            drop(reps.sparkSession, at)
+        small = rows.where(n <= leaf).select("node", "rep")
         done = small if done is None else done.unionByName(small)
-        over = rows.where(F.col("n") > leaf)
-        if over.isEmpty():
-            return done, None
-        large = over.select("node", "tree", "used", "rep").join(reps.select("rep", "sig"), "rep")
-    return done, over.select("node", "rep", "n")
+        stays = idle if level + 1 < depth else F.lit(True)
+        left = rows.where((n > leaf) & stays).select("node", "rep")
+        over = left if over is None else over.unionByName(left)
+        large = rows.where((n > leaf) & ~stays)
+        if large.isEmpty():
+            break
+        large = large.select("node", "tree", "used", "rep", n.alias("held")).join(reps.select("rep", "sig"), "rep")
+    return done, None if over.isEmpty() else over
 
 
 def _blocks(over: DataFrame, leaf: int) -> DataFrame:
     """(node, rep) for rows node, rep, comp: each node cut into blocks of about leaf / 2, and a new node for every two blocks
-    that hold more than one component. A component of more than a block has blocks of its own, which do not meet each other."""
+    that hold more than one component. A component of more than a block has blocks of its own, which do not meet each other. A
+    block's own pairs are in each of its meetings, so it stands alone only where it is the node's only one."""
     half = max(1, leaf // 2)
     sizes = over.groupBy("node", "comp").agg(F.count("*").alias("m"))
     rest = sizes.where(F.col("m") <= half).groupBy("node").agg(F.sum("m").alias("mixed"))
@@ -257,8 +271,9 @@ def _blocks(over: DataFrame, leaf: int) -> DataFrame:
     rows = over.join(kinds, ["node", "comp"]).select("node", "rep", "own", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("parts")).alias("k"))
     rows = stored(rows.withColumn("block", F.xxhash64("own", "k")), "op3-blocks")
     blocks = rows.select("node", "block", "own").distinct()
-    p, q = [blocks.select(F.col("node"), F.col("block").alias(x), F.col("own").alias(f"own_{x}")) for x in ("p", "q")]
-    two = p.join(q, "node").where("p <= q AND (own_p IS NULL OR own_q IS NULL OR own_p <> own_q)")
+    blocks = blocks.join(blocks.groupBy("node").agg(F.count("*").alias("blocks")), "node")
+    p, q = [blocks.select("node", F.col("block").alias(x), F.col("own").alias(f"own_{x}"), F.col("blocks").alias(f"of_{x}")) for x in ("p", "q")]
+    two = p.join(q, "node").where("(p < q OR p = q AND of_p = 1) AND (own_p IS NULL OR own_q IS NULL OR own_p <> own_q)")
     met = two.select("node", F.xxhash64("node", "p", "q").alias("meet"), F.explode(F.array_distinct(F.array("p", "q"))).alias("block"))
     return rows.join(met, ["node", "block"]).select(F.col("meet").alias("node"), "rep")
 

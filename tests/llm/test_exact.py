@@ -140,6 +140,19 @@ def test_rows_that_share_an_id_are_judged_by_their_text(spark):
     assert sorted((r["doc_id"], r["text"]) for r in near_dedup.keep_one(df).collect()) == sorted([(1, text[0]), (2, text[1]), (2, text[1])])
 
 
+def test_blocks_let_all_sets_of_different_components_meet(spark):
+    rng = random.Random(5)
+    rows = [(1, rep, rep if rep % 3 else 0) for rep in range(60)] + [(2, rep, rep) for rep in range(100, 103)] + [(3, 200, 200), (3, 201, 201), (3, 202, 200)]
+    rng.shuffle(rows)
+    met = {}
+    for r in near_dedup._blocks(spark.createDataFrame(rows, "node long, rep long, comp long"), 8).collect():
+        met.setdefault(r["node"], set()).add(r["rep"])
+    for n1, a, c in rows:
+        for n2, b, d in rows:
+            if n1 == n2 and c != d:
+                assert any({a, b} <= reps for reps in met.values())
+
+
 def test_hub_pairs_meet_their_sets(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "HUB", 3)
     pairs = spark.createDataFrame([(0, k) for k in range(1, 20)] + [(k, 30) for k in range(1, 12)], "a long, b long")
