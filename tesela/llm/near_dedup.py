@@ -257,6 +257,12 @@ def _leaves(reps: DataFrame, trees: int, leaf: int, depth: int, percent: int) ->
     return done, None if over.isEmpty() else over
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """rows (node, rep) without nodes that hold the very sets of another one, as trees often do: their pairs are the same."""
+    held = rows.groupBy("node").agg(F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"h{k}") for k in (0, 1)])
+    return rows.join(held.groupBy("n", "h0", "h1").agg(F.min("node").alias("node")).select("node"), "node", "left_semi")
+
+
 def _blocks(over: DataFrame, leaf: int) -> DataFrame:
     """(node, rep) for rows node, rep, comp: each node cut into blocks of about leaf / 2, and a new node for every two blocks
     that hold more than one component. A component of more than a block has blocks of its own, which do not meet each other. A
@@ -332,6 +338,7 @@ def _judged(docs: DataFrame, percent: int, trees: int, leaf: int, depth: int, bi
     drop(spark, at)
 
     leaves, over = _leaves(reps, trees, leaf, depth, percent)
+    leaves = stored(_once(leaves), "op3-leaves")
     first = _compare(leaves.withColumn("comp", F.col("rep")), reps, percent, False)
     if over is not None:
         pivots = over.groupBy("node").agg(F.min("rep").alias("a"))
