@@ -331,7 +331,10 @@ def _judged(docs: DataFrame, percent: int, trees: int, leaf: int, depth: int, bi
         wide, at = kept_at(docs.mapInArrow(_sketch, "doc_id long, text_key binary, n_shingles long, set_key binary, sig binary, low binary, least binary"), "op3-wide")
     has_set = "set_key IS NOT NULL AND doc_id IS NOT NULL"
     one = [F.any_value(c).alias(c) for c in ("n_shingles", "sig", "low", "least")]
-    folded = wide.where(has_set).groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("set_size"), *one)
+    repeated = stored(wide.where(has_set).groupBy("set_key").agg(F.count("*").alias("n")).where("n > 1").select("set_key"), "op3-repeated")
+    some, others = suspects(wide.where(has_set), "set_key", repeated, bits)  # only sketches of sets that may repeat are shuffled
+    folded = some.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("set_size"), *one)
+    folded = folded.unionByName(others.select("set_key", "doc_id", F.lit(1).cast("long").alias("set_size"), "n_shingles", "sig", "low", "least"))
     folded, folded_at = kept_at(folded.withColumn("rep", F.expr("conv(hex(substring(set_key, 1, 8)), 16, -10)").cast("long")), "op3-reps")
     reps = folded.select("rep", "n_shingles", "sig", "low", "least")
     sketch, sketch_at = kept_at(wide.drop("sig", "low", "least"), "op3-sketch")
