@@ -77,6 +77,19 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return tokens[np.where(filled, np.arange(COORDS), source)]
 
 
+def packed(shingles: np.ndarray) -> bytes:
+    """The highest 24 bits of the LOWEST lowest hashes of a sorted array, three bytes each."""
+    return (shingles[:LOWEST] >> np.uint64(40)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def unpacked(low: bytes) -> np.ndarray:
+    """The distinct tokens that packed() holds, sorted. Tokens of two hashes coincide once in 2 ** 24, which may raise a similarity
+    and lowers one by less than the slack of likely_by_least()."""
+    out = np.zeros((len(low) // 3, 4), np.uint8)
+    out[:, :3] = np.frombuffer(low, np.uint8).reshape(-1, 3)
+    return np.unique(out.view("<u4").ravel())
+
+
 def _set_key(shingles: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
@@ -93,7 +106,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([_set_key(s) for s in sets], pa.binary()),
                 pa.array([None if s is None else s.tobytes() for s in signs], pa.binary()),
                 pa.array([None if s is None else s.astype(np.uint8).tobytes() for s in signs], pa.binary()),
-                pa.array([(s[:LOWEST] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary()),
+                pa.array([packed(s) for s in sets], pa.binary()),
             ],
             ["doc_id", "text_key", "n_shingles", "set_key", "sig", "low", "least"],
         )
@@ -173,7 +186,7 @@ def _leaf_pairs(percent: int, everything: bool):
         if len(reps) < 2 or len(set(comps)) < 2:
             return
         if everything:
-            i, j, n = likely_by_least([np.frombuffer(x, np.uint32) for x in lows], np.array(sizes), percent)
+            i, j, n = likely_by_least([unpacked(x) for x in lows], np.array(sizes), percent)
         else:
             i, j, n = likely(np.frombuffer(b"".join(lows), np.uint8).reshape(-1, COORDS), np.array(sizes), percent)
         order = np.argsort(-n, kind="stable")

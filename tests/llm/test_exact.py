@@ -114,7 +114,7 @@ def test_likely_loses_no_pair_at_the_threshold():
             assert 100 * len(np.intersect1d(*pair)) >= 85 * len(np.union1d(*pair))
             lows = np.stack([near_dedup.signature(x).astype(np.uint8) for x in pair])
             sizes = np.array([len(x) for x in pair])
-            least = [(x[: near_dedup.LOWEST] >> np.uint64(32)).astype(np.uint32) for x in pair]
+            least = [near_dedup.unpacked(near_dedup.packed(x)) for x in pair]
             assert len(near_dedup.likely(lows, sizes, 85)[0]) == len(near_dedup.likely_by_least(least, sizes, 85)[0]) == 1
 
 
