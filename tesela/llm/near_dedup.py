@@ -13,8 +13,8 @@ Scalable and Robust Set Similarity Join, 2018).
 4. What is still larger at `depth`, or is hardly parted by branching, is compared exhaustively in blocks of `leaf`, so no cap
    loses a pair: all with the least set first, then every two blocks that links so far leave in different components.
 5. A leaf first gives a spanning forest of its likely pairs, not all pairs; they are confirmed on full sets.
-   A second look at the leaves, by lowest tokens, gives every likely pair that the confirmed links leave in two components; sets
-   of up to LOWEST shingles are compared whole there.
+   A second look, by lowest tokens, at the sets that likely pairs connect gives every likely pair that the confirmed links leave
+   in two components; sets of up to LOWEST shingles are compared whole there. The same sets, met in several trees, are looked at once.
 6. Components come from distributed star contraction. Nothing grows on the driver.
 
 Recall: of a pair at the very threshold (0.85) a tree keeps the two together through a branching with the chance of 0.85, more for
@@ -179,10 +179,11 @@ def _find(parent: dict, x: int) -> int:
 
 
 def _leaf_pairs(percent: int, everything: bool):
-    """For rows node, rep, comp, n_shingles, sketch sorted by node: likely pairs a < b of different comp in
-    one node. Without `everything`, likeliest first, only those that join what earlier ones leave apart."""
+    """For rows node, rep, comp, n_shingles, sketch sorted by node: likely pairs a < b of different comp in one node. Without
+    `everything`, likeliest first, only those that join sets which earlier ones leave apart, as rows node, root, a, b: sets that
+    likely pairs connect have one root in their node."""
 
-    def pairs_of(reps: list, comps: list, sizes: list, lows: list) -> Iterator[tuple[int, int]]:
+    def pairs_of(node: int, reps: list, comps: list, sizes: list, lows: list) -> Iterator[tuple]:
         if len(reps) < 2 or len(set(comps)) < 2:
             return
         if everything:
@@ -191,15 +192,22 @@ def _leaf_pairs(percent: int, everything: bool):
             i, j, n = likely(np.frombuffer(b"".join(lows), np.uint8).reshape(-1, COORDS), np.array(sizes), percent)
         order = np.argsort(-n, kind="stable")
         parent: dict[int, int] = {}
+        forest = []
         for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
             if comps[x] == comps[y] or reps[x] == reps[y]:
                 continue
-            if not everything:
-                a, b = _find(parent, comps[x]), _find(parent, comps[y])
-                if a == b:
-                    continue
+            pair = min(reps[x], reps[y]), max(reps[x], reps[y])
+            if everything:
+                yield pair
+                continue
+            a, b = _find(parent, reps[x]), _find(parent, reps[y])
+            if a != b:
                 parent[a] = b
-            yield min(reps[x], reps[y]), max(reps[x], reps[y])
+                forest.append(pair)
+        for a, b in forest:
+            yield node, _find(parent, a), a, b
+
+    columns = ("a", "b") if everything else ("node", "root", "a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[list] = [[], [], [], [], []]
@@ -208,18 +216,19 @@ def _leaf_pairs(percent: int, everything: bool):
             rest = [x + y for x, y in zip(rest, new, strict=True)]
             nodes = rest[0]
             cuts = [0, *[k for k in range(1, len(nodes)) if nodes[k] != nodes[k - 1]]]
-            found = [p for a, z in zip(cuts[:-1], cuts[1:], strict=True) for p in pairs_of(*[x[a:z] for x in rest[1:]])]
+            found = [p for a, z in zip(cuts[:-1], cuts[1:], strict=True) for p in pairs_of(nodes[a], *[x[a:z] for x in rest[1:]])]
             rest = [x[cuts[-1] :] for x in rest]
-            yield _pairs(found)
-        yield _pairs(list(pairs_of(*rest[1:])))
+            yield _pairs(found, columns)
+        if rest[0]:
+            yield _pairs(list(pairs_of(rest[0][0], *rest[1:])), columns)
         rest = []
         give_back()
 
     return run
 
 
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+def _pairs(found: list[tuple], columns: tuple = ("a", "b")) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(len(columns))], list(columns))
 
 
 def _confirm(percent: int):
@@ -298,11 +307,18 @@ def _blocks(over: DataFrame, leaf: int) -> DataFrame:
 
 
 def _compare(rows: DataFrame, reps: DataFrame, percent: int, everything: bool) -> DataFrame:
-    """Likely pairs a, b of rows (node, rep, comp), each once."""
+    """Likely pairs of rows (node, rep, comp): a, b of all of them, each once, or node, root, a, b of a spanning forest."""
     sketch = reps.select("rep", "n_shingles", F.col("least" if everything else "low").alias("sketch"))
     wide = rows.join(sketch, "rep").select("node", "rep", "comp", "n_shingles", "sketch")
     near = wide.repartition("node").sortWithinPartitions("node")
-    return near.mapInArrow(_leaf_pairs(percent, everything), "a long, b long").distinct()
+    if everything:
+        return near.mapInArrow(_leaf_pairs(percent, True), "a long, b long").distinct()
+    return near.mapInArrow(_leaf_pairs(percent, False), "node long, root long, a long, b long")
+
+
+def _connected(forest: DataFrame) -> DataFrame:
+    """(node, rep): a node for the sets of each tree of a forest. A set without a likely pair is in none."""
+    return forest.select(F.xxhash64("node", "root").alias("node"), F.explode(F.array("a", "b")).alias("rep")).distinct()
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame, of: str, other: str, to: str) -> DataFrame:
@@ -355,22 +371,24 @@ def _judged(docs: DataFrame, percent: int, trees: int, leaf: int, depth: int, bi
 
     leaves, over = _leaves(reps, trees, leaf, depth, percent)
     leaves = stored(_once(leaves), "op3-leaves")
-    first = _compare(leaves.withColumn("comp", F.col("rep")), reps, percent, False)
+    with small_batches(spark, 2000):
+        forest = stored(_compare(leaves.withColumn("comp", F.col("rep")), reps, percent, False), "op3-forest")
+    first = forest.select("a", "b")
     if over is not None:
         pivots = over.groupBy("node").agg(F.min("rep").alias("a"))
-        first = first.unionByName(over.join(pivots, "node").where("rep > a").select("a", F.col("rep").alias("b"))).distinct()
-    with small_batches(spark, 2000):
-        first = stored(first, "op3-pairs")
+        first = first.unionByName(over.join(pivots, "node").where("rep > a").select("a", F.col("rep").alias("b")))
+    first = stored(first.distinct(), "op3-pairs")
     links = _confirmed(first, docs, folded, percent, bits)
 
     labels = stored(_labels(links), "op3-labels1")
     at = lambda rows: rows.join(labels, rows["rep"] == labels["node"], "left").select(rows["node"], *[rows[c] for c in rows.columns if c != "node"], F.coalesce("root", "rep").alias("comp"))
     mixed = lambda rows: rows.join(rows.groupBy("node").agg((F.min("comp") < F.max("comp")).alias("mixed")).where("mixed"), "node").drop("mixed")
-    again = mixed(at(leaves))
+    again = mixed(at(_connected(forest)))
     if over is not None:
         again = again.unionByName(mixed(at(_blocks(mixed(at(over)), leaf))))
+    again = stored(again.select("node", "rep", "comp"), "op3-again")
     with small_batches(spark, 2000):
-        second = stored(_compare(again.select("node", "rep", "comp"), reps, percent, True).join(first, ["a", "b"], "left_anti"), "op3-pairs2")
+        second = stored(_compare(_once(again), reps, percent, True).join(first, ["a", "b"], "left_anti"), "op3-pairs2")
     links2 = None if second.isEmpty() else _confirmed(second, docs, folded, percent, bits)
 
     roots = labels if links2 is None or links2.isEmpty() else _labels(labels.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(links2))
