@@ -133,9 +133,10 @@ def _branch(rows: DataFrame, share: float, trees: int) -> DataFrame:
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """rows (node, tree, used, rep, held) with the size n of their node; those alone in it are gone."""
-    sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
-    return rows.join(sizes, "node")
+    """rows (node, tree, used, rep, held) with the size n of their node; those alone in it are gone. Only rows whose node may hold
+    another one are shuffled for the join."""
+    sizes = stored(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "op3-sizes")
+    return suspects(rows, "node", sizes.select("node"))[0].join(sizes, "node")
 
 
 def likely(lows: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
