@@ -114,8 +114,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, "text", 1 << 19):
-        sets = shingle_sets(*bytes_of(batch.column("text")))
-        yield pa.RecordBatch.from_arrays([pa.array([_set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["set_key", "shingles"])
+        sets = [s for s in shingle_sets(*bytes_of(batch.column("text"))) if len(s)]
+        names = [int.from_bytes(_set_key(s)[:8], "big", signed=True) for s in sets]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "shingles"])
 
 
 def _branch(rows: DataFrame, share: float, trees: int) -> DataFrame:
@@ -322,6 +323,18 @@ def _connected(forest: DataFrame) -> DataFrame:
     return forest.select(F.xxhash64("node", "root").alias("node"), F.explode(F.array("a", "b")).alias("rep")).distinct()
 
 
+def _plausible(percent: int):
+    """Of rows a, b, na, nb, la, lb those that are likely by their sizes and lowest tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*[batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "la", "lb")], strict=True)
+            yield _pairs([(a, b) for a, b, na, nb, la, lb in rows if len(likely_by_least([unpacked(la), unpacked(lb)], np.array([na, nb]), percent)[0])])
+        give_back()
+
+    return run
+
+
 def _with_sets(pairs: DataFrame, sets: DataFrame, of: str, other: str, to: str) -> DataFrame:
     """pairs with the set of column `of` as `to`. A set with many pairs is sent to several tasks, each with a part of them."""
     hubs = pairs.groupBy(F.col(of).alias("hub")).agg(F.ceil(F.count("*") / HUB).cast("int").alias("parts")).where("parts > 1")
@@ -336,12 +349,13 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, folded: DataFrame, percent: in
     """The pairs whose full shingle sets, taken from the texts again, reach the threshold."""
     spark = docs.sparkSession
     named = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    named = stored(folded.join(named, "rep").select("rep", "set_key", "doc_id"), "op3-named")
+    named = stored(folded.select("rep", "doc_id").join(named, "rep", "left_semi"), "op3-named")
     bits = bits or bits_for(named.count())
-    wanted = marked(bitmap(named.select(slot([F.col("doc_id")], bits).alias("slot")), bits), slot([F.col("doc_id")], bits))
+    ids = marked(bitmap(named.select(slot([F.col("doc_id")], bits).alias("slot")), bits), slot([F.col("doc_id")], bits))
+    names = marked(bitmap(named.select(slot([F.col("rep")], bits).alias("slot")), bits), slot([F.col("rep")], bits))
     with small_batches(spark, 1000):
-        found = docs.where(F.col("doc_id").isNotNull() & wanted).select("text").mapInArrow(_full_sets, "set_key binary, shingles binary")
-        sets, own = kept_at(found.join(named, "set_key").groupBy("rep").agg(F.any_value("shingles").alias("shingles")), "op3-sets")
+        found = docs.where(F.col("doc_id").isNotNull() & ids).select("text").mapInArrow(_full_sets, "rep long, shingles binary").where(names)
+        sets, own = kept_at(found.groupBy("rep").agg(F.any_value("shingles").alias("shingles")), "op3-sets")
     both = _with_sets(_with_sets(pairs, sets, "a", "b", "sa"), sets, "b", "a", "sb")
     with small_batches(spark, 500):
         links = stored(both.select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a long, b long").distinct(), "op3-links")
@@ -379,7 +393,11 @@ def _judged(docs: DataFrame, percent: int, trees: int, leaf: int, depth: int, bi
         pivots = over.groupBy("node").agg(F.min("rep").alias("a"))
         first = first.unionByName(over.join(pivots, "node").where("rep > a").select("a", F.col("rep").alias("b")))
     first = stored(first.distinct(), "op3-pairs")
-    links = _confirmed(first, docs, folded, percent, bits)
+    tokens = lambda x: suspects(reps, "rep", first.select(x).distinct(), bits)[0].select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("least").alias(f"l{x}"))
+    with small_batches(spark, 2000):
+        some = first.join(tokens("a"), "a").join(tokens("b"), "b").select("a", "b", "na", "nb", "la", "lb")
+        some = stored(some.mapInArrow(_plausible(percent), "a long, b long"), "op3-plausible")
+    links = _confirmed(some, docs, folded, percent, bits)
 
     labels = stored(_labels(links), "op3-labels1")
     at = lambda rows: rows.join(labels, rows["rep"] == labels["node"], "left").select(rows["node"], *[rows[c] for c in rows.columns if c != "node"], F.coalesce("root", "rep").alias("comp"))
