@@ -277,7 +277,8 @@ def _leaves(reps: DataFrame, trees: int, leaf: int, depth: int, percent: int) ->
         large = rows.where((n > leaf) & ~stays)
         if large.isEmpty():
             break
-        large = large.select("node", "tree", "used", "rep", n.alias("held")).join(reps.select("rep", "sig"), "rep")
+        signs = suspects(reps.select("rep", "sig"), "rep", large.select("rep").distinct())[0]
+        large = large.select("node", "tree", "used", "rep", n.alias("held")).join(signs, "rep")
     return done, None if over.isEmpty() else over
 
 
@@ -311,6 +312,7 @@ def _blocks(over: DataFrame, leaf: int) -> DataFrame:
 def _compare(rows: DataFrame, reps: DataFrame, percent: int, everything: bool) -> DataFrame:
     """Likely pairs of rows (node, rep, comp): a, b of all of them, each once, or node, root, a, b of a spanning forest."""
     sketch = reps.select("rep", "n_shingles", F.col("least" if everything else "low").alias("sketch"))
+    sketch = suspects(sketch, "rep", rows.select("rep").distinct())[0]
     wide = rows.join(sketch, "rep").select("node", "rep", "comp", "n_shingles", "sketch")
     near = wide.repartition("node").sortWithinPartitions("node")
     if everything:
