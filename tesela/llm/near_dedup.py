@@ -49,8 +49,10 @@ COORDS = 128
 LOWEST = 384
 #: Standard deviations below the threshold that a pair of signatures may fall before it is not likely.
 SLACK = 6
-#: Pairs of one set that a task joins at once; a set with more is sent to several.
+#: Rows of one set that a task joins at once; a set with more is sent to several.
 HUB = 512
+#: Sets, and shingles, of a block of linked sets whose pairs are confirmed together with those of another block.
+CELL, CELL_SHINGLES = 64, 1 << 19
 
 
 def _detours() -> np.ndarray:
@@ -234,31 +236,94 @@ def _pairs(found: list[tuple], columns: tuple = ("a", "b")) -> pa.RecordBatch:
 
 
 def _confirm(percent: int):
-    """Of rows a, b, sa, sb those whose full sets reach the threshold."""
+    """For rows cell, rep, others, shingles sorted by cell: the pairs of a rep and one of its others that reach the threshold. An other
+    one is in the same cell."""
+
+    def links(rows: list[tuple]) -> list[tuple]:
+        sets = {rep: np.frombuffer(s, np.uint64) for rep, _, s in rows}
+        found = []
+        for a, others, _ in rows:
+            for b in others:
+                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    found.append((a, b))
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, rest = None, []
         for batch in (whole.slice(at, 64) for whole in batches for at in range(0, whole.num_rows, 64)):
             found = []
-            for a, b, sa, sb in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "sa", "sb")], strict=True):
-                x, y = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    found.append((a, b))
+            for new, *row in zip(*[batch.column(c).to_pylist() for c in ("cell", "rep", "others", "shingles")], strict=True):
+                if new != cell:
+                    found += links(rest)
+                    cell, rest = new, []
+                rest.append(row)
             yield _pairs(found)
+        yield _pairs(links(rest))
+        rest = []
         give_back()
 
     return run
 
 
+def _order(sets: Column, leaf: int) -> Column:
+    """The least prime q for which q lines of about `leaf` sets hold so many, or 1 where one does; a prime lies between m and 2 m."""
+    m = F.ceil(sets / F.lit(leaf)).cast("long")
+    prime = lambda c: F.forall(F.sequence(F.lit(2).cast("long"), F.greatest(F.lit(2).cast("long"), F.floor(F.sqrt(c)))), lambda d: (c % d != 0) | (c == d))
+    return F.when(m < 2, F.lit(1).cast("long")).otherwise(F.element_at(F.filter(F.sequence(m, 2 * m), prime), 1))
+
+
+def _lines(rows: DataFrame, leaf: int) -> DataFrame:
+    """(node, rep) for rows (node, rep): a new node for each line of an affine plane of order q over the sets of a node, which its points
+    hold by hash. Any two points lie on a line, so any two sets meet; a line holds about `leaf` sets, a set is on q + 1."""
+    order = rows.groupBy("node").agg(_order(F.count("*"), leaf).alias("q"))
+    x, y = [F.pmod(F.xxhash64("rep", F.lit(k)), F.col("q")) for k in (5, 6)]
+    points = rows.join(order, "node").select("node", "rep", "q", x.alias("x"), y.alias("y"))
+    slopes = F.explode(F.when(F.col("q") > 1, F.sequence(F.lit(0).cast("long"), F.col("q"))).otherwise(F.array(F.lit(0).cast("long")))).alias("slope")
+    cut = F.when(F.col("slope") == F.col("q"), F.col("x")).otherwise(F.pmod(F.col("y") - F.col("slope") * F.col("x"), F.col("q")))
+    return points.select("node", "rep", "q", "x", "y", slopes).select(F.xxhash64("node", "slope", cut, F.lit(8)).alias("node"), "rep")
+
+
+def _united(rows: DataFrame, leaf: int, rounds: int = 1) -> tuple[DataFrame, DataFrame]:
+    """For rows (node, rep): (name, rep), the union of nodes that share a minwise set in place of them where its lines hold no more rows
+    than theirs, and (node, name, cost, held): the rows of a union's lines, and those of its nodes.
+
+    Trees meet a large group with nearly the same sets again and again. Each pair of a node is in its union."""
+    cost = lambda n: n * (_order(n, leaf) + 1)
+    spark, mark = rows.sparkSession, scratch_mark()
+    tasks = rows.count() // 100_000 + 1
+    few = lambda df: df.coalesce(tasks)  # noqa: E731  these tables are narrow and small: no file for each of many tasks
+    sets = few(rows.select(F.col("node").alias("name"), "rep"))
+    names = stored(few(sets.groupBy("name").agg(F.count("*").alias("held"))).select(F.col("name").alias("node"), "name", "held"), "op3-nodes")
+    for k in range(rounds):
+        keys = stored(few(sets.groupBy("name").agg(F.min(F.xxhash64("rep", F.lit(100 + k))).alias("least"), F.count("*").alias("m"))), "op3-least")
+        apart = few(keys.groupBy("least").agg(F.sum(cost(F.col("m"))).alias("apart"), F.count("*").alias("nodes"))).where("nodes > 1")
+        some = few(keys.join(apart.select("least"), "least")).select("name", "least")
+        union = few(few(sets.join(some, "name").select("least", "rep").distinct()).groupBy("least").agg(F.count("*").alias("u")))
+        joined = few(apart.join(union, "least")).where(cost(F.col("u")) <= F.col("apart")).select("least")
+        to = stored(few(some.join(joined, "least")).select("name", F.xxhash64("least", F.lit(k), F.lit(9)).alias("to")), "op3-unions")
+        if to.isEmpty():
+            continue
+        new = F.coalesce("to", "name").alias("name")
+        sets = stored(few(few(sets.join(to, "name", "left")).select(new, "rep").distinct()), "op3-united")
+        names = stored(few(names.join(to, "name", "left")).select("node", new, "held"), "op3-names")
+    unions = few(sets.groupBy("name").agg(cost(F.count("*")).alias("cost"))).join(few(names.groupBy("name").agg(F.sum("held").alias("held"))), "name")
+    names, names_at = kept_at(few(names.select("node", "name").join(unions, "name")), "op3-costs")
+    sets, sets_at = kept_at(sets, "op3-unions")
+    clear_scratch(spark, mark, {names_at, sets_at})
+    return sets, names
+
+
 def _leaves(reps: DataFrame, trees: int, leaf: int, depth: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
-    """(node, rep) of the leaves that hold two or more, and (node, rep) of larger nodes that do not branch on: those at `depth`, and
-    those that lost so few sets in the last branching that another one would make more rows than it saves in blocks.
+    """(node, rep) of the leaves that hold two or more, and (node, rep) of larger nodes that do not branch on: those at `depth`, those
+    that lost so few sets in the last branching that another one would make more rows than it saves in blocks, and
+    unions of nodes of all trees whose lines hold no more rows than the next branching of these nodes.
 
-    Blocks of a node of n sets hold n * n / (leaf / 2) rows. Another branching makes n * reach rows; with the part r of its sets
-    that the node kept of `held` ones before, its children's blocks then hold reach * r * r of those rows."""
+    Lines of a node of n sets hold about n * n / leaf rows. Another branching makes n * reach rows; with the part r of its sets
+    that the node kept of `held` ones before, its children's lines then hold reach * r * r of those rows."""
     reach = 100 / percent
     n, kept = F.col("n"), F.col("n") / F.col("held")
-    idle = F.coalesce(n * (1 - reach * kept * kept) <= reach * max(1, leaf // 2), F.lit(False))
+    idle = F.coalesce(n * (1 - reach * kept * kept) <= reach * leaf, F.lit(False))
     tree = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long")))
     large = reps.select(tree.alias("tree"), "rep", "sig").select(F.col("tree").alias("node"), "tree", F.array().cast("array<int>").alias("used"), "rep", F.lit(None).cast("long").alias("held"), "sig")
     done = over = None
@@ -271,15 +336,21 @@ def _leaves(reps: DataFrame, trees: int, leaf: int, depth: int, percent: int) ->
             drop(reps.sparkSession, at)
         small = rows.where(n <= leaf).select("node", "rep")
         done = small if done is None else done.unionByName(small)
-        stays = idle if level + 1 < depth else F.lit(True)
-        left = rows.where((n > leaf) & stays).select("node", "rep")
-        over = left if over is None else over.unionByName(left)
-        large = rows.where((n > leaf) & ~stays)
+        large = rows.where(n > leaf)
         if large.isEmpty():
             break
+        sets, names = _united(large.select("node", "rep"), leaf, 1 if level else 2)
+        together = F.col("cost") <= reach * F.col("held")
+        left = sets.join(names.where(together).select("name").distinct(), "name", "left_semi").select(F.col("name").alias("node"), "rep")
+        large = large.join(names.where(~together).select("node"), "node")
+        stays = idle if level + 1 < depth else F.lit(True)
+        left = left.unionByName(large.where(stays).select("node", "rep"))
+        over = left if over is None else over.unionByName(left)
+        large = large.where(~stays)
         signs = suspects(reps.select("rep", "sig"), "rep", large.select("rep").distinct())[0]
         large = large.select("node", "tree", "used", "rep", n.alias("held")).join(signs, "rep")
-    return done, None if over.isEmpty() else over
+    over = None if over is None else stored(over, "op3-over")
+    return done, None if over is None or over.isEmpty() else _united(over, leaf)[0].withColumnRenamed("name", "node")
 
 
 def _once(rows: DataFrame) -> DataFrame:
@@ -288,10 +359,15 @@ def _once(rows: DataFrame) -> DataFrame:
     return rows.join(held.groupBy("n", "h0", "h1").agg(F.min("node").alias("node")).select("node"), "node", "left_semi")
 
 
+def _pieces(over: DataFrame, leaf: int) -> DataFrame:
+    """(node, rep) of the nodes cut into pieces of about `leaf` sets, each a node of its own."""
+    parts = over.groupBy("node").agg(F.ceil(F.count("*") / F.lit(leaf)).cast("long").alias("parts"))
+    return over.join(parts, "node").select(F.xxhash64("node", F.pmod(F.xxhash64("rep", F.lit(6)), F.col("parts")), F.lit(7)).alias("node"), "rep")
+
+
 def _blocks(over: DataFrame, leaf: int) -> DataFrame:
-    """(node, rep) for rows node, rep, comp: each node cut into blocks of about leaf / 2, and a new node for every two blocks
-    that hold more than one component. A component of more than a block has blocks of its own, which do not meet each other. A
-    block's own pairs are in each of its meetings, so it stands alone only where it is the node's only one."""
+    """(node, rep) for rows node, rep, comp: nodes in which all sets of different components meet. Sets of small components meet on
+    lines. A component of more than leaf / 2 sets has blocks of that size, which meet those of others and do not meet each other."""
     half = max(1, leaf // 2)
     sizes = over.groupBy("node", "comp").agg(F.count("*").alias("m"))
     rest = sizes.where(F.col("m") <= half).groupBy("node").agg(F.sum("m").alias("mixed"))
@@ -302,11 +378,11 @@ def _blocks(over: DataFrame, leaf: int) -> DataFrame:
     rows = over.join(kinds, ["node", "comp"]).select("node", "rep", "own", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("parts")).alias("k"))
     rows = stored(rows.withColumn("block", F.xxhash64("own", "k")), "op3-blocks")
     blocks = rows.select("node", "block", "own").distinct()
-    blocks = blocks.join(blocks.groupBy("node").agg(F.count("*").alias("blocks")), "node")
-    p, q = [blocks.select("node", F.col("block").alias(x), F.col("own").alias(f"own_{x}"), F.col("blocks").alias(f"of_{x}")) for x in ("p", "q")]
-    two = p.join(q, "node").where("(p < q OR p = q AND of_p = 1) AND (own_p IS NULL OR own_q IS NULL OR own_p <> own_q)")
-    met = two.select("node", F.xxhash64("node", "p", "q").alias("meet"), F.explode(F.array_distinct(F.array("p", "q"))).alias("block"))
-    return rows.join(met, ["node", "block"]).select(F.col("meet").alias("node"), "rep")
+    p, q = [blocks.select("node", F.col("block").alias(x), F.col("own").alias(f"own_{x}")) for x in ("p", "q")]
+    two = p.where("own_p IS NOT NULL").join(q, "node").where("own_q IS NULL OR own_p < own_q")
+    met = two.select("node", F.xxhash64("node", "p", "q").alias("meet"), F.explode(F.array("p", "q")).alias("block"))
+    met = rows.join(met, ["node", "block"]).select(F.col("meet").alias("node"), "rep")
+    return met.unionByName(_lines(rows.where("own IS NULL").select("node", "rep"), leaf))
 
 
 def _compare(rows: DataFrame, reps: DataFrame, percent: int, everything: bool) -> DataFrame:
@@ -347,20 +423,46 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, of: str, other: str, to: str)
     return dealt.join(sent, [of, "part"]).drop("part")
 
 
+def _cells(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(cell, rep, others) for pairs a, b and sizes (rep, n_shingles): each pair is in one cell, as a rep and one of its others, and
+    each set of a cell has one row there. Pairs go together by the least set that is linked with one of theirs; a cell holds the
+    pairs of two blocks of such a group, which hold about CELL sets and CELL_SHINGLES at most. So a full set moves once a cell, not once a pair."""
+    ends = pairs.select(F.col("a").alias("rep"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("rep"), F.col("a").alias("other")))
+    least = ends.groupBy("rep").agg(F.min("other").alias("other")).select("rep", F.least("rep", "other").alias("least"))
+    of = lambda x: least.select(F.col("rep").alias(x), F.col("least").alias(f"least_{x}"))
+    at = stored(pairs.join(of("a"), "a").join(of("b"), "b").select(F.least("least_a", "least_b").alias("root"), "a", "b"), "op3-linked")
+    sets = at.select("root", F.explode(F.array("a", "b")).alias("rep")).distinct().join(sizes.distinct(), "rep")
+    parts = sets.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / F.lit(CELL)), F.ceil(F.sum("n_shingles") / F.lit(CELL_SHINGLES))).cast("long").alias("parts"))
+    p, q = [F.pmod(F.xxhash64(x, F.lit(11)), F.col("parts")) for x in ("a", "b")]
+    at = at.join(parts, "root").select(F.xxhash64("root", F.least(p, q), F.greatest(p, q)).alias("cell"), "a", "b")
+    both = at.select("cell", F.col("a").alias("rep"), F.col("b").alias("other")).unionByName(at.select("cell", F.col("b").alias("rep"), F.lit(None).cast("long").alias("other")))
+    return stored(both.groupBy("cell", "rep").agg(F.collect_list("other").alias("others")), "op3-cells")
+
+
+def _single(sets: DataFrame) -> DataFrame:
+    """rows (rep, shingles) with one for each rep; only those that are repeated are shuffled for it."""
+    repeated = stored(sets.groupBy("rep").agg(F.count("*").alias("n")).where("n > 1").select("rep"), "op3-repeated-sets")
+    if repeated.isEmpty():
+        return sets
+    some, others = suspects(sets, "rep", repeated)
+    return others.unionByName(some.groupBy("rep").agg(F.any_value("shingles").alias("shingles")))
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, folded: DataFrame, percent: int, bits: int | None) -> DataFrame:
     """The pairs whose full shingle sets, taken from the texts again, reach the threshold."""
     spark = docs.sparkSession
     named = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    named = stored(folded.select("rep", "doc_id").join(named, "rep", "left_semi"), "op3-named")
+    named = stored(folded.select("rep", "doc_id", "n_shingles").join(named, "rep", "left_semi"), "op3-named")
     bits = bits or bits_for(named.count())
     ids = marked(bitmap(named.select(slot([F.col("doc_id")], bits).alias("slot")), bits), slot([F.col("doc_id")], bits))
     names = marked(bitmap(named.select(slot([F.col("rep")], bits).alias("slot")), bits), slot([F.col("rep")], bits))
     with small_batches(spark, 1000):
         found = docs.where(F.col("doc_id").isNotNull() & ids).select("text").mapInArrow(_full_sets, "rep long, shingles binary").where(names)
-        sets, own = kept_at(found.groupBy("rep").agg(F.any_value("shingles").alias("shingles")), "op3-sets")
-    both = _with_sets(_with_sets(pairs, sets, "a", "b", "sa"), sets, "b", "a", "sb")
+        sets, own = kept_at(found, "op3-sets")
+    cells = _cells(pairs.distinct(), named.select("rep", "n_shingles"))
+    met = _with_sets(cells, _single(sets), "rep", "cell", "shingles").select("cell", "rep", "others", "shingles")
     with small_batches(spark, 500):
-        links = stored(both.select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a long, b long").distinct(), "op3-links")
+        links = stored(met.repartition("cell").sortWithinPartitions("cell").mapInArrow(_confirm(percent), "a long, b long"), "op3-links")
     drop(spark, own)
     return links
 
@@ -392,6 +494,9 @@ def _judged(docs: DataFrame, percent: int, trees: int, leaf: int, depth: int, bi
         forest = stored(_compare(leaves.withColumn("comp", F.col("rep")), reps, percent, False), "op3-forest")
     first = forest.select("a", "b")
     if over is not None:
+        pieces = stored(_pieces(over, leaf), "op3-pieces")
+        with small_batches(spark, 2000):
+            first = first.unionByName(stored(_compare(pieces.withColumn("comp", F.col("rep")), reps, percent, False).select("a", "b"), "op3-forest2"))
         pivots = over.groupBy("node").agg(F.min("rep").alias("a"))
         first = first.unionByName(over.join(pivots, "node").where("rep > a").select("a", F.col("rep").alias("b")))
     first = stored(first.distinct(), "op3-pairs")

@@ -161,6 +161,53 @@ def test_hub_pairs_meet_their_sets(spark, monkeypatch):
     assert Counter((r["a"], r["b"], bytes(r["sa"]), bytes(r["sb"])) for r in got) == Counter((r["a"], r["b"], str(r["a"]).encode(), str(r["b"]).encode()) for r in pairs.collect())
 
 
+def test_trees_that_meet_one_large_group_hold_it_once(spark):
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 32, near_dedup.COORDS, dtype=np.uint32)
+    rows = []
+    for rep in range(300):
+        sig = np.where(rng.random(near_dedup.COORDS) < 0.04, rng.integers(0, 1 << 32, near_dedup.COORDS, dtype=np.uint32), base)
+        rows.append((rep, sig.tobytes()))
+    _, over = near_dedup._leaves(spark.createDataFrame(rows, "rep long, sig binary"), 16, 32, 4, 85)
+    assert over.count() <= 900 and over.select("rep").distinct().count() == 300  # 16 trees, each with nearly all of the 300
+    assert over.distinct().count() == over.count()
+
+
+def test_sets_of_a_large_node_meet_on_lines(spark):
+    rows = [(1, rep, rep) for rep in range(700)] + [(2, rep, rep) for rep in range(1000, 1020)]
+    met = {}
+    for r in near_dedup._blocks(spark.createDataFrame(rows, "node long, rep long, comp long"), 64).collect():
+        met.setdefault(r["node"], set()).add(r["rep"])
+    assert sum(map(len, met.values())) <= 13 * 700 + 20 and max(map(len, met.values())) <= 110  # blocks of 32 held 21 * 700
+    pairs = {(a, b) for reps in met.values() for a in reps for b in reps if a < b}
+    assert len(pairs) == 700 * 699 // 2 + 20 * 19 // 2
+
+
+def test_order_of_a_plane_is_the_next_prime(spark):
+    got = {r["n"]: r["q"] for r in spark.range(1, 3000).select(F.col("id").alias("n"), near_dedup._order(F.col("id"), 8).alias("q")).collect()}
+    primes = [q for q in range(2, 800) if all(q % d for d in range(2, int(q**0.5) + 1))]
+    assert got == {n: 1 if n <= 8 else next(q for q in primes if 8 * q >= n) for n in got}
+
+
+def test_full_sets_move_once_a_cell_and_every_pair_is_in_one(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CELL_SHINGLES", 50_000)
+    pairs = [(a, b) for a in range(200) for b in range(a + 1, 200)] + [(300, 301), (400, 401)]
+    sizes = [(rep, 100) for rep in range(200)] + [(300, 100), (301, 100), (400, 10**6), (401, 10**6)]
+    rows = near_dedup._cells(spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(sizes, "rep long, n_shingles long")).collect()
+    cells = {}
+    for r in rows:
+        assert r["rep"] not in cells.setdefault(r["cell"], set())
+        cells[r["cell"]].add(r["rep"])
+    assert sorted((r["rep"], b) for r in rows for b in r["others"]) == pairs
+    assert all(set(r["others"]) <= cells[r["cell"]] for r in rows)
+    assert len(rows) <= 200 * 4 + 4  # not a set for each of 19900 pairs
+
+
+def test_repeated_sets_are_single(spark):
+    sets = spark.createDataFrame([(1, b"a"), (2, b"b"), (1, b"a"), (3, b"c")], "rep long, shingles binary")
+    assert sorted((r["rep"], bytes(r["shingles"])) for r in near_dedup._single(sets).collect()) == [(1, b"a"), (2, b"b"), (3, b"c")]
+
+
 # ------------------------------------------------------------------------------------ samples
 
 
