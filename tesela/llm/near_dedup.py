@@ -10,8 +10,9 @@ Scalable and Robust Set Similarity Join, 2018).
 3. Leaves first compare one byte of each coordinate, then the lowest tokens of sets. A pair is likely down to six standard
    deviations below the threshold, so the comparison itself loses about one pair in 10 ** 9 at the threshold, and none that
    are much closer.
-4. What is still larger at `depth`, or is hardly parted by branching, is compared exhaustively in blocks of `leaf`, so no cap
-   loses a pair: all with the least set first, then every two blocks that links so far leave in different components.
+4. What is still larger at `depth`, or is hardly parted by branching, is compared exhaustively, so no cap loses a pair: nodes that
+   trees have in common are united; all with the least set and in pieces first, then all sets that links so far leave in
+   different components, on lines of an affine plane.
 5. A leaf first gives a spanning forest of its likely pairs, not all pairs; they are confirmed on full sets.
    A second look, by lowest tokens, at the sets that likely pairs connect gives every likely pair that the confirmed links leave
    in two components; sets of up to LOWEST shingles are compared whole there. The same sets, met in several trees, are looked at once.
