@@ -74,6 +74,11 @@ def clear_scratch(spark: SparkSession, mark: int, keep: set[str]) -> None:
     _made[mark:] = [p for p in _made[mark:] if p in keep]
 
 
+def scratch_since(mark: int) -> list[str]:
+    """The paths of the scratch tables made since mark that clear_scratch() has not deleted."""
+    return _made[mark:]
+
+
 def drop(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path.removesuffix("/data"))
     fs.delete(jpath, True)

@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 from collections import Counter
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tesela.llm import bpe, language_id, license_scan, mixing, near_dedup, quality_classifier, shingles, token_output, warc
-from tesela.llm.common import drawn, stored
+from tesela.llm.common import drawn, shared_dir, stored
 from tesela.llm.queries import split_pattern, tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -401,3 +403,18 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
             assert df.count() == 0
         out = corpus_pipeline.run(spark, path)
         assert out.where("NOT round_trip").count() == 0 and (out.count() > 0) == bool(table)
+
+
+def test_a_stage_deletes_what_those_before_it_left_once_their_results_are_written(spark, tmp_path):
+    folder = Path(urlparse(shared_dir(spark)).path) / "tesela"
+    before = set(folder.glob("*"))
+    copies = lambda: {p for p in folder.glob("op1-docs-*") if p not in before}
+    rules, exact = [stage for _, stage in corpus_pipeline.STAGES[:2]]
+    good = rules(spark, spark.read.parquet(f"{SF}/documents.parquet"), str(tmp_path))
+    waiting = exact(spark, good, str(tmp_path))
+    assert copies()  # both results are still to be read from the copy
+    rows = waiting.count()
+    good.write.parquet(f"{tmp_path}/good")
+    left = set(folder.glob("*")) - before
+    found = exact(spark, spark.read.parquet(f"{tmp_path}/good"), str(tmp_path))
+    assert not copies() and not any(p.exists() for p in left) and found.count() == rows
