@@ -96,6 +96,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return kept_at(df, name)[0]
 
 
+def few(df: DataFrame, rows: int, each: int = 100_000) -> DataFrame:
+    """df of about so many rows in a task for each `each` of them, or as many as it has. A small table behind a shuffle takes
+    a task, and a file, for each of its partitions otherwise."""
+    return df.coalesce(rows // each + 1)
+
+
 def lower_ascii(text: Column) -> Column:
     """text with only A-Z lower-cased; a text of ASCII alone takes the fast built-in."""
     plain = F.octet_length(text) == F.char_length(text)
@@ -115,14 +121,15 @@ def slot(keys: list[Column], bits: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(bits).cast("long"))
 
 
-def bitmap(slots: DataFrame, bits: int) -> Column:
+def bitmap(slots: DataFrame, bits: int, keys: int | None = None) -> Column:
     """A scalar subquery: one bit for each value of the column slot, as bits / 64 longs. Its size does
-    not depend on the data; a crowded bitmap lets more rows through and never fewer."""
+    not depend on the data; a crowded bitmap lets more rows through and never fewer. With the number of keys, tasks follow it."""
     spark = slots.sparkSession
     lit64 = F.lit(64).cast("long")
     full = spark.range(bits // 64).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("b"))
     some = slots.select(F.floor(F.col("slot") / lit64).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", lit64).cast("int")).alias("b"))
     packed = some.unionByName(full).groupBy("w").agg(F.bit_or("b").alias("b"))
+    packed = packed if keys is None else few(packed, max(keys, bits // 64))
     one = packed.agg(F.sort_array(F.collect_list(F.struct("w", "b"))).alias("a")).select(F.transform("a", lambda x: x["b"]).alias("a"))
     return one.scalar()
 
@@ -138,11 +145,12 @@ def bits_for(keys: int) -> int:
     return 1 << min(26, max(16, (16 * keys).bit_length()))
 
 
-def suspects(df: DataFrame, id_col: str, ids: DataFrame, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
+def suspects(df: DataFrame, id_col: str, ids: DataFrame, bits: int | None = None, thin: bool = False) -> tuple[DataFrame, DataFrame]:
     """The rows of df whose id may be among ids (its single column, a table that is cheap to count), and the others. Only the
-    first need a join, so only they are shuffled for one."""
-    bits = bits or bits_for(ids.count())
-    maybe = marked(bitmap(ids.select(slot([F.col(ids.columns[0])], bits).alias("slot")), bits), slot([F.col(id_col)], bits))
+    first need a join, so only they are shuffled for one. thin: the bitmap takes as many tasks as the ids need."""
+    keys = ids.count() if thin or not bits else None
+    bits = bits or bits_for(keys)
+    maybe = marked(bitmap(ids.select(slot([F.col(ids.columns[0])], bits).alias("slot")), bits, keys if thin else None), slot([F.col(id_col)], bits))
     return df.where(maybe), df.where(~maybe)
 
 

@@ -33,6 +33,7 @@ are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -41,7 +42,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, bits_for, bytes_of, clear_scratch, drop, give_back, kept_at, marked, scratch_mark, sliced, slot, small_batches, stored, suspects
+from .common import bitmap, bits_for, bytes_of, clear_scratch, drop, few, give_back, kept_at, marked, scratch_mark, sliced, slot, small_batches, stored
+from .common import suspects as _suspects
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -52,10 +54,15 @@ LOWEST = 384
 SLACK = 6
 #: Rows of one set that a task joins at once; a set with more is sent to several.
 HUB = 512
+#: Rows with sketches, and with full sets, that a task takes where the shuffle has more partitions than these need.
+SKETCHES, FULL = 5_000, 1_000
 #: Sets, and shingles, of a block of linked sets whose pairs are confirmed together with those of another block.
 CELL, CELL_SHINGLES = 64, 1 << 19
 
 
+suspects = functools.partial(_suspects, thin=True)
+
+
 def _detours() -> np.ndarray:
     """For each coordinate the order in which it tries others when its own bin is empty (Shrivastava,
     Optimal Densification, 2017)."""
@@ -136,11 +143,11 @@ def _branch(rows: DataFrame, share: float, trees: int) -> DataFrame:
     return rows.select(F.xxhash64("node", "k", token).alias("node"), "tree", F.concat("used", F.array("k")).alias("used"), "rep", "held")
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """rows (node, tree, used, rep, held) with the size n of their node; those alone in it are gone. Only rows whose node may hold
+def _shared(rows: DataFrame, many: int) -> DataFrame:
+    """rows (node, tree, used, rep, held), about `many`, with the size n of their node; those alone in it are gone. Only rows whose node may hold
     another one are shuffled for the join."""
-    sizes = stored(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "op3-sizes")
-    return suspects(rows, "node", sizes.select("node"))[0].join(sizes, "node")
+    sizes = stored(few(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), many), "op3-sizes")
+    return few(suspects(rows, "node", sizes.select("node"))[0].join(sizes, "node"), many)
 
 
 def likely(lows: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -277,9 +284,10 @@ def _order(sets: Column, leaf: int) -> Column:
 def _lines(rows: DataFrame, leaf: int) -> DataFrame:
     """(node, rep) for rows (node, rep): a new node for each line of an affine plane of order q over the sets of a node, which its points
     hold by hash. Any two points lie on a line, so any two sets meet; a line holds about `leaf` sets, a set is on q + 1."""
-    order = rows.groupBy("node").agg(_order(F.count("*"), leaf).alias("q"))
+    many = rows.count()
+    order = few(rows.groupBy("node").agg(_order(F.count("*"), leaf).alias("q")), many)
     x, y = [F.pmod(F.xxhash64("rep", F.lit(k)), F.col("q")) for k in (5, 6)]
-    points = rows.join(order, "node").select("node", "rep", "q", x.alias("x"), y.alias("y"))
+    points = few(rows.join(order, "node"), many).select("node", "rep", "q", x.alias("x"), y.alias("y"))
     slopes = F.explode(F.when(F.col("q") > 1, F.sequence(F.lit(0).cast("long"), F.col("q"))).otherwise(F.array(F.lit(0).cast("long")))).alias("slope")
     cut = F.when(F.col("slope") == F.col("q"), F.col("x")).otherwise(F.pmod(F.col("y") - F.col("slope") * F.col("x"), F.col("q")))
     return points.select("node", "rep", "q", "x", "y", slopes).select(F.xxhash64("node", "slope", cut, F.lit(8)).alias("node"), "rep")
@@ -328,11 +336,14 @@ def _leaves(reps: DataFrame, trees: int, leaf: int, depth: int, percent: int) ->
     tree = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long")))
     large = reps.select(tree.alias("tree"), "rep", "sig").select(F.col("tree").alias("node"), "tree", F.array().cast("array<int>").alias("used"), "rep", F.lit(None).cast("long").alias("held"), "sig")
     done = over = None
+    many, found = reps.count() * trees, 0
     for level in range(depth):
-        rows, at = _branch(large, reach - 1, trees), None
+        rows, at, many = _branch(large, reach - 1, trees), None, int(many * reach)
         if level:
-            rows, at = kept_at(rows.distinct(), f"op3-paths{level}")
-        rows = stored(_shared(rows), f"op3-level{level}")
+            rows, at = kept_at(few(rows.distinct(), many), f"op3-paths{level}")
+        rows = stored(_shared(rows, many), f"op3-level{level}")
+        many = rows.count()
+        found += many
         if at:
             drop(reps.sparkSession, at)
         small = rows.where(n <= leaf).select("node", "rep")
@@ -342,58 +353,61 @@ def _leaves(reps: DataFrame, trees: int, leaf: int, depth: int, percent: int) ->
             break
         sets, names = _united(large.select("node", "rep"), leaf, 1 if level else 2)
         together = F.col("cost") <= reach * F.col("held")
-        left = sets.join(names.where(together).select("name").distinct(), "name", "left_semi").select(F.col("name").alias("node"), "rep")
-        large = large.join(names.where(~together).select("node"), "node")
+        left = few(sets.join(few(names.where(together).select("name").distinct(), many), "name", "left_semi"), many).select(F.col("name").alias("node"), "rep")
+        large = stored(few(large.join(names.where(~together).select("node"), "node"), many), "op3-large")
         stays = idle if level + 1 < depth else F.lit(True)
         left = left.unionByName(large.where(stays).select("node", "rep"))
         over = left if over is None else over.unionByName(left)
         large = large.where(~stays)
-        signs = suspects(reps.select("rep", "sig"), "rep", large.select("rep").distinct())[0]
-        large = large.select("node", "tree", "used", "rep", n.alias("held")).join(signs, "rep")
-    over = None if over is None else stored(over, "op3-over")
+        many = large.count()
+        signs = suspects(reps.select("rep", "sig"), "rep", stored(few(large.select("rep").distinct(), many), "op3-branching"))[0]
+        large = few(large.select("node", "tree", "used", "rep", n.alias("held")).join(signs, "rep"), many, SKETCHES)
+    over = None if over is None else stored(few(over, found), "op3-over")
     return done, None if over is None or over.isEmpty() else _united(over, leaf)[0].withColumnRenamed("name", "node")
 
 
-def _once(rows: DataFrame) -> DataFrame:
-    """rows (node, rep) without nodes that hold the very sets of another one, as trees often do: their pairs are the same."""
-    held = rows.groupBy("node").agg(F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"h{k}") for k in (0, 1)])
-    return rows.join(held.groupBy("n", "h0", "h1").agg(F.min("node").alias("node")).select("node"), "node", "left_semi")
+def _once(rows: DataFrame, many: int) -> DataFrame:
+    """rows (node, rep), about `many`, without nodes that hold the very sets of another one, as trees often do: their pairs are the same."""
+    held = few(rows.groupBy("node").agg(F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"h{k}") for k in (0, 1)]), many)
+    return few(rows.join(few(held.groupBy("n", "h0", "h1").agg(F.min("node").alias("node")), many).select("node"), "node", "left_semi"), many)
 
 
 def _pieces(over: DataFrame, leaf: int) -> DataFrame:
     """(node, rep) of the nodes cut into pieces of about `leaf` sets, each a node of its own."""
-    parts = over.groupBy("node").agg(F.ceil(F.count("*") / F.lit(leaf)).cast("long").alias("parts"))
-    return over.join(parts, "node").select(F.xxhash64("node", F.pmod(F.xxhash64("rep", F.lit(6)), F.col("parts")), F.lit(7)).alias("node"), "rep")
+    many = over.count()
+    parts = few(over.groupBy("node").agg(F.ceil(F.count("*") / F.lit(leaf)).cast("long").alias("parts")), many)
+    return few(over.join(parts, "node"), many).select(F.xxhash64("node", F.pmod(F.xxhash64("rep", F.lit(6)), F.col("parts")), F.lit(7)).alias("node"), "rep")
 
 
 def _blocks(over: DataFrame, leaf: int) -> DataFrame:
-    """(node, rep) for rows node, rep, comp: nodes in which all sets of different components meet. Sets of small components meet on
+    """(node, rep) for rows node, rep, comp, a table that is cheap to count: nodes in which all sets of different components meet. Sets of small components meet on
     lines. A component of more than leaf / 2 sets has blocks of that size, which meet those of others and do not meet each other."""
-    half = max(1, leaf // 2)
-    sizes = over.groupBy("node", "comp").agg(F.count("*").alias("m"))
-    rest = sizes.where(F.col("m") <= half).groupBy("node").agg(F.sum("m").alias("mixed"))
+    half, many = max(1, leaf // 2), over.count()
+    sizes = few(over.groupBy("node", "comp").agg(F.count("*").alias("m")), many)
+    rest = few(sizes.where(F.col("m") <= half).groupBy("node").agg(F.sum("m").alias("mixed")), many)
     parts = lambda n: F.ceil(F.coalesce(n, F.lit(1)) / F.lit(half)).cast("long")
     own = F.when(F.col("m") > half, F.col("comp"))
     count = F.when(own.isNotNull(), parts(F.col("m"))).otherwise(parts(F.col("mixed")))
-    kinds = sizes.join(rest, "node", "left").select("node", "comp", own.alias("own"), count.alias("parts"))
-    rows = over.join(kinds, ["node", "comp"]).select("node", "rep", "own", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("parts")).alias("k"))
+    kinds = few(sizes.join(rest, "node", "left"), many).select("node", "comp", own.alias("own"), count.alias("parts"))
+    rows = few(over.join(kinds, ["node", "comp"]), many).select("node", "rep", "own", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("parts")).alias("k"))
     rows = stored(rows.withColumn("block", F.xxhash64("own", "k")), "op3-blocks")
-    blocks = rows.select("node", "block", "own").distinct()
+    blocks = few(rows.select("node", "block", "own").distinct(), many)
     p, q = [blocks.select("node", F.col("block").alias(x), F.col("own").alias(f"own_{x}")) for x in ("p", "q")]
-    two = p.where("own_p IS NOT NULL").join(q, "node").where("own_q IS NULL OR own_p < own_q")
+    two = few(p.where("own_p IS NOT NULL").join(q, "node"), many).where("own_q IS NULL OR own_p < own_q")
     met = two.select("node", F.xxhash64("node", "p", "q").alias("meet"), F.explode(F.array("p", "q")).alias("block"))
     met = rows.join(met, ["node", "block"]).select(F.col("meet").alias("node"), "rep")
     return met.unionByName(_lines(rows.where("own IS NULL").select("node", "rep"), leaf))
 
 
 def _compare(rows: DataFrame, reps: DataFrame, percent: int, everything: bool) -> DataFrame:
-    """Likely pairs of rows (node, rep, comp): a, b of all of them, each once, or node, root, a, b of a spanning forest."""
+    """Likely pairs of rows (node, rep, comp), a table that is cheap to count: a, b of all of them, each once, or node, root, a, b of a spanning forest."""
+    many = rows.count()
     sketch = reps.select("rep", "n_shingles", F.col("least" if everything else "low").alias("sketch"))
-    sketch = suspects(sketch, "rep", rows.select("rep").distinct())[0]
-    wide = rows.join(sketch, "rep").select("node", "rep", "comp", "n_shingles", "sketch")
-    near = wide.repartition("node").sortWithinPartitions("node")
+    sketch = suspects(sketch, "rep", stored(few(rows.select("rep").distinct(), many), "op3-compared"))[0]
+    wide = few(rows.join(sketch, "rep"), many, SKETCHES).select("node", "rep", "comp", "n_shingles", "sketch")
+    near = few(wide.repartition("node"), many, SKETCHES).sortWithinPartitions("node")
     if everything:
-        return near.mapInArrow(_leaf_pairs(percent, True), "a long, b long").distinct()
+        return few(near.mapInArrow(_leaf_pairs(percent, True), "a long, b long").distinct(), many)
     return near.mapInArrow(_leaf_pairs(percent, False), "node long, root long, a long, b long")
 
 
@@ -415,55 +429,59 @@ def _plausible(percent: int):
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame, of: str, other: str, to: str) -> DataFrame:
-    """pairs with the set of column `of` as `to`. A set with many pairs is sent to several tasks, each with a part of them."""
-    hubs = pairs.groupBy(F.col(of).alias("hub")).agg(F.ceil(F.count("*") / HUB).cast("int").alias("parts")).where("parts > 1")
+    """pairs, a table that is cheap to count, with the set of column `of` as `to`. A set with many pairs is sent to several tasks, each with a part of them."""
+    many = pairs.count()
+    hubs = few(pairs.groupBy(F.col(of).alias("hub")).agg(F.ceil(F.count("*") / HUB).cast("int").alias("parts")).where("parts > 1"), many)
     part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64(other), F.col("parts"))).otherwise(F.lit(0)).cast("int")
-    dealt = pairs.join(hubs, pairs[of] == hubs["hub"], "left").withColumn("part", part).drop("hub", "parts")
+    dealt = few(pairs.join(hubs, pairs[of] == hubs["hub"], "left"), many).withColumn("part", part).drop("hub", "parts")
     copies = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
     sent = sets.join(hubs, sets["rep"] == hubs["hub"], "left").select(F.col("rep").alias(of), F.col("shingles").alias(to), copies)
-    return dealt.join(sent, [of, "part"]).drop("part")
+    return few(dealt.join(sent, [of, "part"]), many, FULL).drop("part")
 
 
 def _cells(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     """(cell, rep, others) for pairs a, b and sizes (rep, n_shingles): each pair is in one cell, as a rep and one of its others, and
     each set of a cell has one row there. Pairs go together by the least set that is linked with one of theirs; a cell holds the
     pairs of two blocks of such a group, which hold about CELL sets and CELL_SHINGLES at most. So a full set moves once a cell, not once a pair."""
+    many = 2 * pairs.count()
     ends = pairs.select(F.col("a").alias("rep"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("rep"), F.col("a").alias("other")))
-    least = ends.groupBy("rep").agg(F.min("other").alias("other")).select("rep", F.least("rep", "other").alias("least"))
+    least = few(ends.groupBy("rep").agg(F.min("other").alias("other")), many).select("rep", F.least("rep", "other").alias("least"))
     of = lambda x: least.select(F.col("rep").alias(x), F.col("least").alias(f"least_{x}"))
-    at = stored(pairs.join(of("a"), "a").join(of("b"), "b").select(F.least("least_a", "least_b").alias("root"), "a", "b"), "op3-linked")
-    sets = at.select("root", F.explode(F.array("a", "b")).alias("rep")).distinct().join(sizes.distinct(), "rep")
-    parts = sets.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / F.lit(CELL)), F.ceil(F.sum("n_shingles") / F.lit(CELL_SHINGLES))).cast("long").alias("parts"))
+    at = stored(few(few(pairs.join(of("a"), "a"), many).join(of("b"), "b"), many).select(F.least("least_a", "least_b").alias("root"), "a", "b"), "op3-linked")
+    sets = few(few(at.select("root", F.explode(F.array("a", "b")).alias("rep")).distinct(), many).join(few(sizes.distinct(), many), "rep"), many)
+    parts = few(sets.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / F.lit(CELL)), F.ceil(F.sum("n_shingles") / F.lit(CELL_SHINGLES))).cast("long").alias("parts")), many)
     p, q = [F.pmod(F.xxhash64(x, F.lit(11)), F.col("parts")) for x in ("a", "b")]
-    at = at.join(parts, "root").select(F.xxhash64("root", F.least(p, q), F.greatest(p, q)).alias("cell"), "a", "b")
+    at = few(at.join(parts, "root"), many).select(F.xxhash64("root", F.least(p, q), F.greatest(p, q)).alias("cell"), "a", "b")
     both = at.select("cell", F.col("a").alias("rep"), F.col("b").alias("other")).unionByName(at.select("cell", F.col("b").alias("rep"), F.lit(None).cast("long").alias("other")))
-    return stored(both.groupBy("cell", "rep").agg(F.collect_list("other").alias("others")), "op3-cells")
+    return stored(few(both.groupBy("cell", "rep").agg(F.collect_list("other").alias("others")), many), "op3-cells")
 
 
 def _single(sets: DataFrame) -> DataFrame:
-    """rows (rep, shingles) with one for each rep; only those that are repeated are shuffled for it."""
-    repeated = stored(sets.groupBy("rep").agg(F.count("*").alias("n")).where("n > 1").select("rep"), "op3-repeated-sets")
+    """rows (rep, shingles), a table that is cheap to count, with one for each rep; only those that are repeated are shuffled for it."""
+    many = sets.count()
+    repeated = stored(few(sets.groupBy("rep").agg(F.count("*").alias("n")).where("n > 1").select("rep"), many), "op3-repeated-sets")
     if repeated.isEmpty():
         return sets
     some, others = suspects(sets, "rep", repeated)
-    return others.unionByName(some.groupBy("rep").agg(F.any_value("shingles").alias("shingles")))
+    return others.unionByName(few(some.groupBy("rep").agg(F.any_value("shingles").alias("shingles")), many, FULL))
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, folded: DataFrame, percent: int, bits: int | None) -> DataFrame:
-    """The pairs whose full shingle sets, taken from the texts again, reach the threshold."""
-    spark = docs.sparkSession
-    named = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    named = stored(folded.select("rep", "doc_id", "n_shingles").join(named, "rep", "left_semi"), "op3-named")
-    bits = bits or bits_for(named.count())
-    ids = marked(bitmap(named.select(slot([F.col("doc_id")], bits).alias("slot")), bits), slot([F.col("doc_id")], bits))
-    names = marked(bitmap(named.select(slot([F.col("rep")], bits).alias("slot")), bits), slot([F.col("rep")], bits))
+    """The pairs, each once in a table that is cheap to count, whose full shingle sets, taken from the texts again, reach the threshold."""
+    spark, many = docs.sparkSession, 2 * pairs.count()
+    named = few(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct(), many)
+    named = stored(few(folded.select("rep", "doc_id", "n_shingles").join(named, "rep", "left_semi"), many), "op3-named")
+    keys = named.count()
+    bits = bits or bits_for(keys)
+    ids = marked(bitmap(named.select(slot([F.col("doc_id")], bits).alias("slot")), bits, keys), slot([F.col("doc_id")], bits))
+    names = marked(bitmap(named.select(slot([F.col("rep")], bits).alias("slot")), bits, keys), slot([F.col("rep")], bits))
     with small_batches(spark, 1000):
         found = docs.where(F.col("doc_id").isNotNull() & ids).select("text").mapInArrow(_full_sets, "rep long, shingles binary").where(names)
         sets, own = kept_at(found, "op3-sets")
-    cells = _cells(pairs.distinct(), named.select("rep", "n_shingles"))
+    cells = _cells(pairs, named.select("rep", "n_shingles"))
     met = _with_sets(cells, _single(sets), "rep", "cell", "shingles").select("cell", "rep", "others", "shingles")
     with small_batches(spark, 500):
-        links = stored(met.repartition("cell").sortWithinPartitions("cell").mapInArrow(_confirm(percent), "a long, b long"), "op3-links")
+        links = stored(few(met.repartition("cell"), cells.count(), FULL).sortWithinPartitions("cell").mapInArrow(_confirm(percent), "a long, b long"), "op3-links")
     drop(spark, own)
     return links
 
@@ -480,9 +498,10 @@ def _judged(docs: DataFrame, percent: int, trees: int, leaf: int, depth: int, bi
         wide, at = kept_at(docs.mapInArrow(_sketch, "doc_id long, text_key binary, n_shingles long, set_key binary, sig binary, low binary, least binary"), "op3-wide")
     has_set = "set_key IS NOT NULL AND doc_id IS NOT NULL"
     one = [F.any_value(c).alias(c) for c in ("n_shingles", "sig", "low", "least")]
-    repeated = stored(wide.where(has_set).groupBy("set_key").agg(F.count("*").alias("n")).where("n > 1").select("set_key"), "op3-repeated")
+    all_docs = wide.count()
+    repeated = stored(few(wide.where(has_set).groupBy("set_key").agg(F.count("*").alias("n")).where("n > 1").select("set_key"), all_docs), "op3-repeated")
     some, others = suspects(wide.where(has_set), "set_key", repeated, bits)  # only sketches of sets that may repeat are shuffled
-    folded = some.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("set_size"), *one)
+    folded = few(some.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("set_size"), *one), all_docs, SKETCHES)
     folded = folded.unionByName(others.select("set_key", "doc_id", F.lit(1).cast("long").alias("set_size"), "n_shingles", "sig", "low", "least"))
     folded, folded_at = kept_at(folded.withColumn("rep", F.expr("conv(hex(substring(set_key, 1, 8)), 16, -10)").cast("long")), "op3-reps")
     reps = folded.select("rep", "n_shingles", "sig", "low", "least")
@@ -490,7 +509,7 @@ def _judged(docs: DataFrame, percent: int, trees: int, leaf: int, depth: int, bi
     drop(spark, at)
 
     leaves, over = _leaves(reps, trees, leaf, depth, percent)
-    leaves = stored(_once(leaves), "op3-leaves")
+    leaves = stored(_once(leaves, leaves.count()), "op3-leaves")
     with small_batches(spark, 2000):
         forest = stored(_compare(leaves.withColumn("comp", F.col("rep")), reps, percent, False), "op3-forest")
     first = forest.select("a", "b")
@@ -498,30 +517,35 @@ def _judged(docs: DataFrame, percent: int, trees: int, leaf: int, depth: int, bi
         pieces = stored(_pieces(over, leaf), "op3-pieces")
         with small_batches(spark, 2000):
             first = first.unionByName(stored(_compare(pieces.withColumn("comp", F.col("rep")), reps, percent, False).select("a", "b"), "op3-forest2"))
-        pivots = over.groupBy("node").agg(F.min("rep").alias("a"))
-        first = first.unionByName(over.join(pivots, "node").where("rep > a").select("a", F.col("rep").alias("b")))
-    first = stored(first.distinct(), "op3-pairs")
-    tokens = lambda x: suspects(reps, "rep", first.select(x).distinct(), bits)[0].select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("least").alias(f"l{x}"))
+        pivots = few(over.groupBy("node").agg(F.min("rep").alias("a")), over.count())
+        first = first.unionByName(few(over.join(pivots, "node"), over.count()).where("rep > a").select("a", F.col("rep").alias("b")))
+    first = stored(few(first.distinct(), forest.count() + (over.count() if over is not None else 0)), "op3-pairs")
+    many = first.count()
+    tokens = lambda x: suspects(reps, "rep", stored(few(first.select(x).distinct(), many), "op3-ends"), bits)[0].select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("least").alias(f"l{x}"))
     with small_batches(spark, 2000):
-        some = first.join(tokens("a"), "a").join(tokens("b"), "b").select("a", "b", "na", "nb", "la", "lb")
+        some = few(few(first.join(tokens("a"), "a"), many, SKETCHES).join(tokens("b"), "b"), many, SKETCHES).select("a", "b", "na", "nb", "la", "lb")
         some = stored(some.mapInArrow(_plausible(percent), "a long, b long"), "op3-plausible")
     links = _confirmed(some, docs, folded, percent, bits)
 
     labels = stored(_labels(links), "op3-labels1")
-    at = lambda rows: rows.join(labels, rows["rep"] == labels["node"], "left").select(rows["node"], *[rows[c] for c in rows.columns if c != "node"], F.coalesce("root", "rep").alias("comp"))
-    mixed = lambda rows: rows.join(rows.groupBy("node").agg((F.min("comp") < F.max("comp")).alias("mixed")).where("mixed"), "node").drop("mixed")
-    again = mixed(at(_connected(forest)))
+    at = lambda rows, many: few(rows.join(labels, rows["rep"] == labels["node"], "left"), many).select(rows["node"], *[rows[c] for c in rows.columns if c != "node"], F.coalesce("root", "rep").alias("comp"))
+    mixed = lambda rows, many: few(rows.join(few(rows.groupBy("node").agg((F.min("comp") < F.max("comp")).alias("mixed")).where("mixed"), many), "node"), many).drop("mixed")
+    many = 2 * forest.count()
+    again = mixed(at(few(_connected(forest), many), many), many)
     if over is not None:
-        again = again.unionByName(mixed(at(_blocks(mixed(at(over)), leaf))))
+        many = over.count()
+        met = stored(_blocks(stored(mixed(at(over, many), many), "op3-mixed"), leaf), "op3-met")
+        many = met.count()
+        again = again.unionByName(mixed(at(met, many), many))
     again = stored(again.select("node", "rep", "comp"), "op3-again")
     with small_batches(spark, 2000):
-        second = stored(_compare(_once(again), reps, percent, True).join(first, ["a", "b"], "left_anti"), "op3-pairs2")
+        second = stored(few(_compare(stored(_once(again, again.count()), "op3-again-once"), reps, percent, True).join(first, ["a", "b"], "left_anti"), again.count()), "op3-pairs2")
     links2 = None if second.isEmpty() else _confirmed(second, docs, folded, percent, bits)
 
     roots = labels if links2 is None or links2.isEmpty() else _labels(labels.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(links2))
-    named = folded.join(roots, folded["rep"] == roots["node"], "left").select("set_key", "set_size", "doc_id", F.coalesce("root", "rep").alias("root"))
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_set, by_set_at = kept_at(named.join(least, "root").select("set_key", "set_size", "component_id"), "op3-sets-named")
+    named = few(folded.join(roots, folded["rep"] == roots["node"], "left"), all_docs).select("set_key", "set_size", "doc_id", F.coalesce("root", "rep").alias("root"))
+    least = few(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), all_docs)
+    by_set, by_set_at = kept_at(few(named.join(least, "root"), all_docs).select("set_key", "set_size", "component_id"), "op3-sets-named")
     clear_scratch(spark, mark, {sketch_at, by_set_at})
     found = sketch.where(has_set).join(by_set, "set_key").select("doc_id", "text_key", "n_shingles", "component_id", "set_size")
     alone = sketch.where(f"NOT ({has_set})").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("set_size"))

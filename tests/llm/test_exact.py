@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tesela.llm import bpe, language_id, license_scan, mixing, near_dedup, quality_classifier, shingles, token_output, warc
 from tesela.llm.common import drawn, shared_dir, stored
+from tesela.llm.components import components
 from tesela.llm.queries import split_pattern, tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -185,6 +186,29 @@ def test_sets_of_a_large_node_meet_on_lines(spark):
     assert len(pairs) == 700 * 699 // 2 + 20 * 19 // 2
 
 
+def test_small_tables_take_few_of_many_partitions(spark):
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    rows = [(k, " ".join(f"w{k // 2}-{j}" for j in range(60)) + f" own{k}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    chain = spark.createDataFrame([(k + 1, k) for k in range(300)], "u long, v long").coalesce(1)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("few-tasks", "tasks of small tables")
+        assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_dedup(docs).collect()} == {k: k // 2 * 2 for k, _ in rows}
+        found = components(chain)
+        assert {r["root"] for r in found.collect()} == {0} and len(found.inputFiles()) <= 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = {s for job in tracker.getJobIdsForGroup("few-tasks") for s in tracker.getJobInfo(job).stageIds}
+    tasks = [info.numTasks for info in map(tracker.getStageInfo, stages) if info and info.numCompletedTasks]
+    assert len(tasks) > 50 and sum(tasks) <= 6 * len(tasks)  # one shuffle of narrow rows after another took 64 tasks each
+
+
 def test_order_of_a_plane_is_the_next_prime(spark):
     got = {r["n"]: r["q"] for r in spark.range(1, 3000).select(F.col("id").alias("n"), near_dedup._order(F.col("id"), 8).alias("q")).collect()}
     primes = [q for q in range(2, 800) if all(q % d for d in range(2, int(q**0.5) + 1))]
